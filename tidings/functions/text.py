@@ -116,31 +116,20 @@ def word_ngrams(tokens: Column) -> Column:
 def char_ngrams(c: Column, low: int = 3, high: int = 5) -> Column:
     """Character n-grams inside white-space words padded by one space per side.
 
-    A padded word shorter than n gives itself once and no longer n-grams.
+    The words are put on lines of their own, where `.` cannot leave the word;
+    the look-ahead takes the n-gram at every position and the `.` after it
+    moves on by one code point. A padded word shorter than n gives none.
     """
-    words = F.filter(
-        F.split(F.lower(c), rf"[{WHITESPACE}]+"), lambda w: w != ""
+    words = F.regexp_replace(F.lower(c), rf"[{WHITESPACE}]+", " \n ")
+    padded = F.concat(F.lit(" "), words, F.lit(" "))
+    padded = F.regexp_replace(padded, r"(^ +\n)|(\n +$)", "")
+    return F.concat(
+        *[
+            F.regexp_extract_all(padded, F.lit(rf"(?=(.{{{n}}}))."), F.lit(1))
+            for n in range(low, high + 1)
+        ]
     )
 
-    def grams(word: Column) -> Column:
-        return let(
-            F.concat(F.lit(" "), word, F.lit(" ")),
-            lambda padded: let(
-                F.length(padded),
-                lambda size: F.flatten(
-                    F.transform(
-                        F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), size))),
-                        lambda n: F.transform(
-                            F.sequence(F.lit(1), F.greatest(F.lit(1), size - n + 1)),
-                            lambda start: F.substring(padded, start, n),
-                        ),
-                    )
-                ),
-            ),
-        )
-
-    return F.flatten(F.transform(words, grams))
-
 
 def term_counts(terms: Column) -> Column:
     """Array of terms to array of `(term, tf)`, without a shuffle.
