@@ -169,13 +169,14 @@ TOKENS_CTE = f"""{SENTENCES_CTE},
  ents as (select doc_id, s, i as "start", least(i+2,n) as "end", ent_type as label from tokens where ent_type<>'')"""
 
 
-def annotated(spark: SparkSession, sf: str) -> DataFrame:
-    """`doc_id, s, tokens, ents` for every sentence."""
-    words = sentences(spark, sf).select(
-        "doc_id", "s", F.regexp_extract_all("sentence", F.lit(TOKEN), F.lit(0)).alias("ws")
+def annotated(spark: SparkSession, sf: str, text: DataFrame | None = None, keep=()) -> DataFrame:
+    """`doc_id, s, tokens, ents` for every sentence, and the columns to keep."""
+    text = sentences(spark, sf) if text is None else text
+    words = text.select(
+        "doc_id", "s", *keep, F.regexp_extract_all("sentence", F.lit(TOKEN), F.lit(0)).alias("ws")
     )
     words = words.selectExpr(
-        "doc_id", "s", "doc_id+s as k", "size(ws) as n", "(doc_id+s)%greatest(least(size(ws),3),1) as r", "ws"
+        "doc_id", "s", *keep, "doc_id+s as k", "size(ws) as n", "(doc_id+s)%greatest(least(size(ws),3),1) as r", "ws"
     )
     pos = _POS.format(i="i", w="w")
     struct = ", ".join(
@@ -184,6 +185,7 @@ def annotated(spark: SparkSession, sf: str) -> DataFrame:
     tokens = words.selectExpr(
         "doc_id",
         "s",
+        *keep,
         "n",
         f"""transform(transform(ws, (w,i) -> named_struct('w', w, 'i', i, 'pos', {pos})),
             t -> named_struct({struct})) as tokens""",
@@ -191,6 +193,7 @@ def annotated(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.selectExpr(
         "doc_id",
         "s",
+        *keep,
         """transform(tokens, t -> struct(t.i as i, t.text as text, t.ws as ws, t.lemma as lemma, t.pos as pos,
             t.dep as dep, cast(t.head as int) as head, t.ent_type as ent_type, t.verb_form as verb_form)) as tokens""",
         """transform(filter(tokens, t -> t.ent_type<>''),
