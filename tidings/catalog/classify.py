@@ -158,9 +158,9 @@ def t12(spark, sf):
 @query("t08_t09_t13_train_predict")
 def t13(spark, sf):
     """Fit on the documents, then classify all of them; solver results have no SQL."""
-    df = rows(spark, sf)
-    model, _report = training.train_event_type(df, seed=SEED, min_df=5)
-    return training.predict(model, df.drop("label"), RULES).select("doc_id", "label", "confidence")
+    df = inputs.table(spark, sf, "documents").selectExpr("doc_id", "lang as label", "text as sentence")
+    model, _report = training.train_event_type(df, seed=SEED, max_iter=40)
+    return training.predict(model, df.drop("label"), key="doc_id", rules=RULES).select("doc_id", "label", "confidence")
 
 
 # --- reports ---------------------------------------------------------------

@@ -1,8 +1,7 @@
-"""Save and load a trained model: ML stages with tables beside them."""
+"""Save and load a trained model as tables in one folder."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from tidings.plans.training import EventTypeModel
@@ -10,34 +9,37 @@ from tidings.plans.training import EventTypeModel
 _RULES = "rule_order int, label string, keywords array<string>"
 
 
-def save_model(model: EventTypeModel, spark: SparkSession, path: str, meta: dict | None = None) -> None:
-    """Write stages, labels, keyword rules and meta data under `path`."""
+def save_model(model: EventTypeModel, path: str, meta: dict | None = None) -> None:
+    """Write terms, labels with intercepts, keyword rules and meta data."""
     if not isinstance(model, EventTypeModel):
         raise TypeError(f"{type(model).__name__} cannot be saved")
-    path = path.rstrip("/")
-    model.stages.write().overwrite().save(f"{path}/stages")
-    rules = [(k, name, list(words)) for k, (name, words) in enumerate(model.rules)]
-    spark.createDataFrame(rules, _RULES).coalesce(1).write.mode("overwrite").parquet(f"{path}/rules")
-    words = [("label", k, x) for k, x in enumerate(model.labels)]
-    words += [("stop_word", k, x) for k, x in enumerate(model.stop_words)]
-    spark.createDataFrame(words, "kind string, position int, value string").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/words")
-    entries = [(str(k), str(v)) for k, v in (meta or model.meta).items()]
-    spark.createDataFrame(entries, "key string, value string").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/meta")
+    spark, path = model.terms.sparkSession, path.rstrip("/")
+    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
+
+    def small(name: str, rows: list, schema: str) -> None:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    small("labels", list(enumerate(model.labels)), "position int, label string")
+    small("intercepts", list(enumerate(model.intercepts)), "position int, value double")
+    small("stop_words", [(w,) for w in model.stop_words], "word string")
+    small("rules", [(k, name, list(words)) for k, (name, words) in enumerate(model.rules)], _RULES)
+    entries = {str(k): str(v) for k, v in (meta or model.meta).items()}
+    small("meta", list(entries.items()), "key string, value string")
 
 
 def load_model(spark: SparkSession, path: str) -> EventTypeModel:
     path = path.rstrip("/")
-    rules = spark.read.parquet(f"{path}/rules").orderBy("rule_order").collect()
-    words = spark.read.parquet(f"{path}/words").orderBy("kind", "position").collect()
-    meta = spark.read.parquet(f"{path}/meta").collect()
+
+    def small(name: str, order: str):
+        return spark.read.parquet(f"{path}/{name}").orderBy(order).collect()
+
+    terms = spark.read.parquet(f"{path}/terms")
     return EventTypeModel(
-        stages=PipelineModel.load(f"{path}/stages"),
-        labels=[w.value for w in words if w.kind == "label"],
-        stop_words=tuple(w.value for w in words if w.kind == "stop_word"),
-        rules=tuple((r.label, tuple(r.keywords)) for r in rules),
-        meta={m.key: m.value for m in meta},
+        terms=terms,
+        n_terms=terms.count(),
+        labels=tuple(r.label for r in small("labels", "position")),
+        intercepts=tuple(r.value for r in small("intercepts", "position")),
+        stop_words=tuple(r.word for r in small("stop_words", "word")),
+        rules=tuple((r.label, tuple(r.keywords)) for r in small("rules", "rule_order")),
+        meta={r.key: r.value for r in small("meta", "key")},
     )
