@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Files may be in encodings beyond Spark's own short list.
+    "spark.sql.legacy.javaCharsets": "true",
     # A model answer may repeat a key; the last value counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
