@@ -105,12 +105,16 @@ def word_tokens(c: Column, stop_words: Iterable[str] = ()) -> Column:
 
 def word_ngrams(tokens: Column) -> Column:
     """Unigrams followed by bigrams of neighbouring tokens."""
-    pairs = F.zip_with(
-        tokens,
-        F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(1))),
-        lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)),
-    )
-    return F.concat(tokens, F.filter(pairs, lambda p: p.isNotNull()))
+
+    def both(found: Column) -> Column:
+        pairs = F.zip_with(
+            found,
+            F.slice(found, F.lit(2), F.greatest(F.size(found), F.lit(1))),
+            lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)),
+        )
+        return F.concat(found, F.filter(pairs, lambda p: p.isNotNull()))
+
+    return let(tokens, both)
 
 
 def char_ngrams(c: Column, low: int = 3, high: int = 5) -> Column:
@@ -123,11 +127,14 @@ def char_ngrams(c: Column, low: int = 3, high: int = 5) -> Column:
     words = F.regexp_replace(F.lower(c), rf"[{WHITESPACE}]+", " \n ")
     padded = F.concat(F.lit(" "), words, F.lit(" "))
     padded = F.regexp_replace(padded, r"(^ +\n)|(\n +$)", "")
-    return F.concat(
-        *[
-            F.regexp_extract_all(padded, F.lit(rf"(?=(.{{{n}}}))."), F.lit(1))
-            for n in range(low, high + 1)
-        ]
+    return let(
+        padded,
+        lambda p: F.concat(
+            *[
+                F.regexp_extract_all(p, F.lit(rf"(?=(.{{{n}}}))."), F.lit(1))
+                for n in range(low, high + 1)
+            ]
+        ),
     )
 
 
