@@ -52,9 +52,9 @@ def l13(spark, sf):
 
 
 @query("l03_missing_tokens", f"""with {TAGGED_CTE}
-select kategoria, sum(case when id='NA' then 1 else 0 end) as missing_id,
- sum(case when KTO is null then 1 else 0 end) as missing_who,
- sum(case when TRIGGER is null then 1 else 0 end) as missing_trigger from tagged group by kategoria""")
+select kategoria, sum(case when id='NA' then 1 else 0 end)::bigint as missing_id,
+ sum(case when KTO is null then 1 else 0 end)::bigint as missing_who,
+ sum(case when TRIGGER is null then 1 else 0 end)::bigint as missing_trigger from tagged group by kategoria""")
 def l03(spark, sf):
     clean = inputs.tagged(spark, sf).select(
         "kategoria", *[T.missing_to_null(F.col(c)).alias(c) for c in ("id", "KTO", "TRIGGER")]
