@@ -30,5 +30,5 @@ def test_query_matches_sql(spark, duck, name):
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
