@@ -2,8 +2,10 @@
 
 from tidings.llm.mixing import op8_entropy_mixing
 from tidings.llm.sharding import op9_kd_sharding
+from tidings.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op7_simhash": op7_simhash,
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
 }
