@@ -1,10 +1,14 @@
 """The registered queries of this package and their SQL."""
 
+from tidings.llm.language_id import op1_language_id
 from tidings.llm.mixing import op8_entropy_mixing
+from tidings.llm.quality_classifier import op3_quality_classifier
 from tidings.llm.sharding import op9_kd_sharding
 from tidings.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_quality_classifier": op3_quality_classifier,
     "op7_simhash": op7_simhash,
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
