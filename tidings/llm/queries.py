@@ -1,18 +1,24 @@
 """The registered queries of this package and their SQL."""
 
+from tidings.llm.chat_format import ORACLE as CHAT_ORACLE, op2_chat_format
 from tidings.llm.language_id import op1_language_id
 from tidings.llm.mixing import op8_entropy_mixing
 from tidings.llm.quality_classifier import op3_quality_classifier
+from tidings.llm.quality_rules import op5_quality_rules
 from tidings.llm.sharding import op9_kd_sharding
 from tidings.llm.simhash import op7_simhash
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_chat_format": op2_chat_format,
     "op3_quality_classifier": op3_quality_classifier,
+    "op5_quality_rules": op5_quality_rules,
     "op7_simhash": op7_simhash,
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
 }
 
-# None of these has SQL: tilts are solved by iteration, the tree's cuts depend on each other.
-ORACLE: dict[str, str] = {}
+# The others have no SQL: models are trained, tilts solved by iteration, cuts depend on each other.
+ORACLE = {
+    "op2_chat_format": CHAT_ORACLE,
+}
