@@ -1,6 +1,7 @@
 """The registered queries of this package and their SQL."""
 
 from tidings.llm.chat_format import ORACLE as CHAT_ORACLE, op2_chat_format
+from tidings.llm.decontamination import op6_template_decontamination
 from tidings.llm.language_id import op1_language_id
 from tidings.llm.mixing import op8_entropy_mixing
 from tidings.llm.quality_classifier import op3_quality_classifier
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op6_template_decontamination": op6_template_decontamination,
     "op7_simhash": op7_simhash,
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
