@@ -3,6 +3,7 @@
 from tidings.llm.chat_format import ORACLE as CHAT_ORACLE, op2_chat_format
 from tidings.llm.decontamination import op6_template_decontamination
 from tidings.llm.language_id import op1_language_id
+from tidings.llm.lm_scoring import op10_context_tree_scoring
 from tidings.llm.mixing import op8_entropy_mixing
 from tidings.llm.quality_classifier import op3_quality_classifier
 from tidings.llm.quality_rules import op5_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
+    "op10_context_tree_scoring": op10_context_tree_scoring,
 }
 
 # The others have no SQL: models are trained, tilts solved by iteration, cuts depend on each other.
