@@ -9,11 +9,13 @@ from tidings.llm.quality_classifier import op3_quality_classifier
 from tidings.llm.quality_rules import op5_quality_rules
 from tidings.llm.sharding import op9_kd_sharding
 from tidings.llm.simhash import op7_simhash
+from tidings.llm.substring_dedup import op4_substring_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_format": op2_chat_format,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_template_decontamination": op6_template_decontamination,
     "op7_simhash": op7_simhash,
