@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidings.llm.common import is_remainder, read
 from tidings.llm.subword import Features, Model, softmax
-from tidings.llm.training import fit
+from tidings.llm.training import fit, labelled
 
 FEATURES = Features(bits=15, sizes=(1, 2, 3, 4), words=False, letters=True)
 # Documents the fit may take, over all languages.
@@ -28,7 +28,7 @@ HIGHEST_LIMIT = 0.5
 
 def fit_languages(rows: DataFrame, max_rows: int = MAX_ROWS) -> tuple[Model | None, float]:
     """Model and rejection limit from `text` and `label`."""
-    model, logits, _ = fit(rows, FEATURES, max_rows=max_rows, epochs=5, rate=0.5)
+    model, logits, _ = fit(labelled(rows), rows, FEATURES, max_rows=max_rows, epochs=5, rate=0.5)
     if model is None or not len(logits):
         return model, 0.0
     best = softmax(logits).max(axis=1)

@@ -23,9 +23,16 @@ MAX_ROWS = 4000
 LIMIT = 0.7
 
 
-def fit_quality(rows: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
-    """A model from `text` and `label` (0 or 1)."""
-    return fit(rows, FEATURES, max_rows=max_rows, epochs=10, rate=1.0)[0]
+def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
+    """A model from the texts of `docs` and the `quality` (0 or 1) of `labels`, by doc_id.
+
+    Only hashes of the texts meet the labels. A label table with several rows
+    for an id gives the least.
+    """
+    quality = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    hashes = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    known = hashes.join(quality, "doc_id").select(F.col("label").cast("string").alias("label"), "h")
+    return fit(known, docs, FEATURES, max_rows=max_rows, epochs=10, rate=1.0)[0]
 
 
 def _score(shared):
@@ -49,16 +56,10 @@ def quality_scorer(spark: SparkSession, model: Model | None) -> Callable[[str],
     return F.pandas_udf(_score(spark.sparkContext.broadcast(model)), "double")
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and label of the documents that have one; a label table with several rows per id gives the least."""
-    quality = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return docs.select("doc_id", "text").join(quality, "doc_id").select("text", "label")
-
-
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Learns from rows whose id's remainder by 4 is not 2; scores every row. Repeated rows repeat their score."""
     docs, held_out = read(spark, folder, "documents"), is_remainder(F.col("doc_id"), 4, 2)
     labels = read(spark, folder, "labels").where(~held_out)
-    model = fit_quality(labelled(docs, labels))
+    model = fit_quality(docs, labels)
     scored = docs.select("doc_id", held_out.alias("held_out"), quality_scorer(spark, model)("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= LIMIT).cast("int"))

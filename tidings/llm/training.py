@@ -25,19 +25,23 @@ def _bags(features: Features):
     return bags
 
 
-def fit(rows: DataFrame, features: Features, *, max_rows: int, epochs: int, rate: float, seed: int = 1) -> tuple[Model | None, np.ndarray, np.ndarray]:
-    """A calibrated model of `label` from `text`, with the logits and labels of the held-back documents.
+def labelled(rows: DataFrame) -> DataFrame:
+    """label and text hash of the rows (label, text) that have both."""
+    known = rows.where("label is not null and text is not null")
+    return known.select(F.col("label").cast("string").alias("label"), F.xxhash64("text").alias("h"))
 
-    Only the fit is bounded: at most `max_rows` documents, as evenly over the
+
+def fit(known: DataFrame, docs: DataFrame, features: Features, *, max_rows: int, epochs: int, rate: float, seed: int = 1) -> tuple[Model | None, np.ndarray, np.ndarray]:
+    """A calibrated model of the labels of `known` (label and text hash, as `labelled` gives), with the logits and labels of the held-back documents.
+
+    The texts come from `docs`, by the picked hashes alone, so none is shuffled
+    before it is picked. Only the fit is bounded: at most `max_rows` documents, as evenly over the
     labels as they allow, picked by a hash of the text (exact copies count
     once, whichever label comes first). Their features are made in tasks and
     only these reach the driver. A fifth is held back and sets the
     temperature; the labels' true shares then set the bias. No labelled text:
     no model.
     """
-    known = rows.where("label is not null and text is not null").select(
-        F.col("label").cast("string").alias("label"), F.xxhash64("text").alias("h")
-    )
     distinct = written(known.groupBy("h").agg(F.min("label").alias("label")), "labelled")
     shares = {r.label: r.n for r in distinct.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not shares:
@@ -48,7 +52,7 @@ def fit(rows: DataFrame, features: Features, *, max_rows: int, epochs: int, rate
     # At most max_rows pairs of a hash and a label.
     picked = written(picked.select("h", "label", F.col("_rank").alias("place")), "picked")
     texts = (
-        rows.where("text is not null")
+        docs.where("text is not null")
         .select("text", F.xxhash64("text").alias("h"))
         .join(F.broadcast(picked), "h")
         .groupBy("h")
