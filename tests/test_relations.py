@@ -1,7 +1,7 @@
 import random
 
 from pyspark.sql import functions as F
-from trees import literal, sentence
+from trees import by_sql, sentence
 
 from tidings.operators import plugins, relations as R
 
@@ -114,8 +114,7 @@ def test_hand_made_sentences(spark):
         # The preposition within two words to the left belongs to the place.
         "no trigger": (None, None, None, "w Gdyni", "w Gdyni jutro"),
     }
-    for name, (tokens, ents) in cases.items():
-        assert got[name] == literal(tokens, ents), name
+    assert list(got.values()) == by_sql(list(cases.values()))
 
 
 def random_tree(rng):
@@ -148,11 +147,11 @@ def random_tree(rng):
     return tokens, ents
 
 
-def test_random_trees_match_the_literal_rules(spark):
+def test_random_trees_match_the_sql(spark):
     rng = random.Random(7)
     cases = [random_tree(rng) for _ in range(1500)]
     got = run(spark, cases)
-    wrong = [(c, g, literal(*c)) for c, g in zip(cases, got) if g != literal(*c)]
+    wrong = [(c, g, w) for c, g, w in zip(cases, got, by_sql(cases)) if g != w]
     assert not wrong, wrong[0]
 
 
