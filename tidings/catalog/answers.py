@@ -180,7 +180,7 @@ def x12(spark, sf):
 
 
 @query("x13_micro_batches", """with n as (select row_number() over (order by doc_id, text)-1 as idx, text as sentence from documents)
-select cast(floor(idx/8) as bigint) as batch, '['||string_agg('{"idx":'||idx||',"sentence":'||to_json(sentence)||'}', ',' order by idx)||']' as items from n group by 1""")
+select cast(floor(idx/8) as bigint) as batch, '['||string_agg('{"idx": '||idx||', "sentence": '||to_json(sentence)||'}', ', ' order by idx)||']' as items from n group by 1""")
 def x13(spark, sf):
     docs = inputs.table(spark, sf, "documents").selectExpr("doc_id as id", "text as sentence")
     return ops.micro_batches(with_row_index(docs, ["id", "sentence"]), 8)

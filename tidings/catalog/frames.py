@@ -127,7 +127,7 @@ def l11(spark, sf):
 
 
 @query("l12_lines", f"""select doc_id, line from (select doc_id, {duck_strip('part')} as line from
- (select doc_id, unnest(regexp_split_to_array(text,'\\r\\n|[\\n\\x0b\\x0c\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]')) as part from documents)) where line<>''""")
+ (select doc_id, unnest(regexp_split_to_array(text,'\\r\\n|[\\n\\x0b\\x0c\\r\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]')) as part from documents)) where line<>''""")
 def l12(spark, sf):
     docs = inputs.table(spark, sf, "documents")
     return docs.select("doc_id", F.explode(T.lines(F.col("text"))).alias("line"))

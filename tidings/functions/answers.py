@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from tidings.functions.binding import let
 from tidings.functions.lexicon import FIELDS
 from tidings.functions.text import NUMBER, none_if_empty, null_ish, py_strip, to_number
 
 
+# Numbers beyond the JSON standard that answers may hold as bare words.
+_BARE_NUMBER = r"(?<=[:,\[]\s{0,9})(-?Infinity|NaN)(?=\s*[,}\]])"
+
+
 def strict_json(text: Column) -> Column:
     """The text as a variant; null unless the whole text is one JSON value.
 
+    `NaN` and `Infinity` are read as text when the JSON fails on them. A
+    repeated key takes its last value: the session's setting for that is made
+    here, so that an answer does not depend on who built the session.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return F.coalesce(_standard_json(text), _standard_json(F.regexp_replace(text, _BARE_NUMBER, '"$1"')))
+
+
+def _standard_json(text: Column) -> Column:
+    """As `strict_json`, for JSON as the standard has it.
+
     Spark's parser stops after the first value. Inside brackets anything that
     follows is an error or a second element; a text with its own `]` is tried
     inside braces as well.
@@ -54,10 +71,68 @@ def kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
 
 
+def _number_text(value: Column) -> Column:
+    """A number as Python's str() shows it: 1 and 1.0 differ, and exponents have a sign and two digits."""
+    shown = F.try_variant_get(value, "$", "string")
+    parts = F.regexp_extract(shown, r"^(-?)(\d+)(?:\.(\d+))?E(-?)(\d+)$", 5)
+    exponent = F.lpad(parts, 2, "0")
+    mantissa = F.regexp_replace(F.regexp_extract(shown, r"^(.*)E", 1), r"\.0$", "")
+    sign = F.when(F.regexp_extract(shown, r"E(-?)", 1) == "-", F.lit("-")).otherwise("+")
+    power = F.when(sign == "-", -parts.try_cast("int")).otherwise(parts.try_cast("int"))
+    plain = F.regexp_replace(shown.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    scientific = F.when((power >= 16) | (power < -4), F.concat(mantissa, F.lit("e"), sign, exponent)).otherwise(plain)
+    return (
+        F.when(shown.contains("E"), scientific)
+        .when(kind(value).isin("DECIMAL", "DOUBLE", "FLOAT") & ~shown.contains("."), F.concat(shown, F.lit(".0")))
+        .otherwise(shown)
+    )
+
+
+def _scalar_text(value: Column) -> Column:
+    shown = F.try_variant_get(value, "$", "string")
+    return (
+        F.when(F.is_variant_null(value), F.lit("None"))
+        .when(kind(value) == "BOOLEAN", F.initcap(shown))
+        .when(kind(value) == "STRING", shown)
+        .otherwise(_number_text(value))
+    )
+
+
+def _inner_text(value: Column) -> Column:
+    """A value inside a list or object: text is quoted, deeper lists and objects stay JSON."""
+    shown = F.try_variant_get(value, "$", "string")
+    plain = F.replace(shown, F.lit("\\"), F.lit("\\\\"))
+    quoted = F.when(shown.contains("'") & ~shown.contains('"'), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    )
+    return F.when(kind(value) == "STRING", quoted).when(kind(value).isin("ARRAY", "OBJECT"), F.to_json(value)).otherwise(_scalar_text(value))
+
+
 def text_of(value: Column) -> Column:
-    """A JSON value as Python's str() shows it; null stays null."""
+    """A JSON value as Python's str() shows it; null stays null.
+
+    Lists and objects are shown to their first level. An object's keys come in
+    alphabetical order, as the parsed value does not keep the written one.
+    """
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    mapped = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    pair = lambda e: F.concat(F.lit("'"), e["key"], F.lit("': "), _inner_text(e["value"]))
+    return (
+        F.when(F.is_variant_null(value), F.lit(None).cast("string"))
+        .when(kind(value) == "ARRAY", F.concat(F.lit("["), F.array_join(F.transform(listed, _inner_text), ", "), F.lit("]")))
+        .when(kind(value) == "OBJECT", F.concat(F.lit("{"), F.array_join(F.transform(mapped, pair), ", "), F.lit("}")))
+        .otherwise(_scalar_text(value))
+    )
+
+
+def is_falsy(value: Column) -> Column:
+    """Values that Python's `or` passes over: false, zero, empty text, list and object."""
     shown = F.try_variant_get(value, "$", "string")
-    return F.when(kind(value) == "BOOLEAN", F.initcap(shown)).otherwise(shown)
+    empty = F.size(F.try_variant_get(value, "$", "array<variant>")) == 0
+    bare = F.size(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))) == 0
+    zero = ~kind(value).isin("STRING", "BOOLEAN", "ARRAY", "OBJECT") & (F.try_variant_get(value, "$", "double") == 0)
+    return F.coalesce((shown == "") | ((kind(value) == "BOOLEAN") & (shown == "false")) | zero | ((kind(value) == "ARRAY") & empty) | ((kind(value) == "OBJECT") & bare), F.lit(False))
 
 
 def field(value: Column, name: str) -> Column:
@@ -166,7 +241,9 @@ def batch_element(element: Column) -> Column:
     number = number_of(field(element, "confidence"))
     return F.struct(
         integer_of(field(element, "idx")).alias("idx"),
-        py_strip(F.coalesce(text_of(field(element, "label")), F.lit(""))).alias("label"),
+        py_strip(
+            F.when(is_falsy(field(element, "label")), F.lit("")).otherwise(F.coalesce(text_of(field(element, "label")), F.lit("")))
+        ).alias("label"),
         F.coalesce(number, F.lit(0.0)).alias("confidence"),
         *[null_ish(text_of(field(element, f))).alias(f) for f in FIELDS],
     )

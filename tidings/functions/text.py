@@ -90,7 +90,7 @@ def model_key(path: Column) -> Column:
 
 def lines(c: Column) -> Column:
     """Non-blank trimmed lines of a text, in order."""
-    parts = F.transform(F.split(c, r"\R"), py_strip)
+    parts = F.transform(F.split(c, r"\R|[\x1c-\x1e]"), py_strip)
     return F.filter(parts, lambda line: line != "")
 
 

@@ -91,10 +91,21 @@ def micro_batches(numbered: DataFrame, size: int) -> DataFrame:
         numbered.select(F.floor(F.col("idx") / size).alias("batch"), "idx", "sentence")
         .groupBy("batch")
         .agg(F.sort_array(F.collect_list(F.struct("idx", "sentence"))).alias("rows"))
-        .select("batch", F.to_json("rows").alias("items"))
+        .select("batch", _json_list(F.col("rows")).alias("items"))
     )
 
 
+def _json_list(rows: Column) -> Column:
+    """`[{"idx": 0, "sentence": "..."}, ...]` with the blanks a JSON writer's defaults put in."""
+
+    def element(row: Column) -> Column:
+        text = F.to_json(F.struct(F.coalesce(row["sentence"], F.lit("")).alias("s")))
+        quoted = F.when(row["sentence"].isNull(), F.lit("null")).otherwise(F.regexp_extract(text, r"(?s)^\{\"s\":(.*)\}$", 1))
+        return F.concat(F.lit('{"idx": '), row["idx"].cast("string"), F.lit(', "sentence": '), quoted, F.lit("}"))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(rows, element), ", "), F.lit("]"))
+
+
 # --- answers ---------------------------------------------------------------
 
 

@@ -38,10 +38,28 @@ CAPTIONS = {"who": "KTO", "what": "CO", "trigger": "Trigger", "where": "GDZIE",
 CONFIDENCE_CAPTION = "Pewność"
 
 
+def two_decimals(number: Column) -> Column:
+    """The binary value rounded to two decimals, ties to the even digit.
+
+    Below 4 the value times 2**60 is a whole number up to parts far below a
+    step, so the comparison with half a step is exact. Spark's own formatting
+    rounds the shortest decimal text instead.
+    """
+
+    scaled = F.abs(number * F.lit(float(1 << 60))).cast("bigint").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
+    step = F.lit(1 << 60).cast("decimal(20,0)")
+    rest, whole = scaled % step, ((scaled - scaled % step) / step).cast("bigint")
+    up = (rest * 2 > step) | ((rest * 2 == step) & (whole % 2 == 1))
+    cents = whole + up.cast("bigint")
+    sign = F.when((number < 0), F.lit("-")).otherwise("")
+    shown = F.concat(sign, F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return F.when(F.abs(number) < 4, shown).otherwise(F.format_string("%.2f", number))
+
+
 def record_text() -> Column:
     """A record as lines of text; empty fields have no line."""
     lines = [F.concat(F.lit(f"{TYPE_CAPTION}: "), F.col("event_type"))]
     for name, caption in CAPTIONS.items():
         lines.append(F.when(F.col(name) != "", F.concat(F.lit(f"{caption}: "), F.col(name))))
-    lines.append(F.format_string(f"{CONFIDENCE_CAPTION}: %.2f", F.col("confidence")))
+    lines.append(F.concat(F.lit(f"{CONFIDENCE_CAPTION}: "), two_decimals(F.col("confidence"))))
     return F.concat_ws("\n", *lines)

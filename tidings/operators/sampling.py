@@ -18,8 +18,6 @@ from tidings.session import fresh_path
 RANGES = 1 << 16
 # Draws and copies per generated row, so that no row explodes into too many.
 CHUNK = 1 << 16
-# `orderBy().limit(n)` gathers n rows in one place; larger heads are numbered.
-SMALL_HEAD = 100_000
 
 
 def ranked(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int) -> DataFrame:
@@ -42,6 +40,8 @@ def ranked(df: DataFrame, by: Sequence[str], key: Sequence[str], seed: int) -> D
         hashed.groupBy(*group)
         .agg(F.count("*").alias("_in_range"))
         .select(*group, F.coalesce(before, F.lit(0)).alias("_first"))
+        # Else the planner would deal all rows by the group alone, as this window is dealt.
+        .repartition(*group)
     )
     place = F.row_number().over(Window.partitionBy(*group).orderBy("_hash", *key))
     return (
@@ -161,15 +161,19 @@ def expand_copies(df: DataFrame) -> DataFrame:
 def with_row_index(df: DataFrame, order: Sequence[str], index: str = "idx") -> DataFrame:
     """Number the rows from 0 in the given order, in parallel.
 
-    Equal rows are counted first, so that copies cannot crowd one task. The
-    sorted groups are written to the shared folder, where file name and row
-    position are fixed; file sizes then give each file its first number.
+    Ties follow a hash of the whole row; rows that are equal in that too are
+    copies and get neighbouring numbers. Only the order columns and the hash
+    are counted, sorted and written to the shared folder, where file name and
+    row position are fixed and file sizes give each file its first number; the
+    rows themselves move once, to their number. Any column type may be among
+    the columns outside the order.
     """
     spark = df.sparkSession
-    rest = [c for c in df.columns if c not in order]
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    keys = [f"_k{i}" for i in range(len(order))]
+    tie = F.md5(F.to_json(F.struct(*df.columns)))
+    row = df.select(*[F.col(c).alias(k) for c, k in zip(order, keys)], tie.alias("_tie"), F.struct(*df.columns).alias("_row"))
     path = fresh_path(spark, "numbered")
-    groups.orderBy(*order, *rest).write.parquet(path)
+    row.groupBy(*keys, "_tie").agg(F.count("*").alias("_n")).orderBy(*keys, "_tie").write.parquet(path)
     stored = spark.read.parquet(path).select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
@@ -184,29 +188,24 @@ def with_row_index(df: DataFrame, order: Sequence[str], index: str = "idx") -> D
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     firsts = files.select("_file", F.coalesce(F.sum("_rows").over(by_name), F.lit(0)).alias("_first"))
-    most = files.agg(F.max("_most")).first()[0] or 1
-    if most == 1:
-        numbered = stored.join(firsts, "_file").withColumn(index, F.col("_first") + F.col("_at"))
-        return numbered.select(index, *df.columns)
     inside = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored.withColumn("_skip", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(firsts, "_file")
     starts = starts.withColumn("_start", F.col("_first") + F.col("_skip"))
-    chunks = starts.withColumn(
+    # Keys may be null; the hash alone names a row's content.
+    single = row.join(starts.where("_n = 1").select("_tie", "_start"), "_tie").select(F.col("_start").alias(index), "_row")
+    # Of copies one row is kept and written out again in chunks.
+    one = row.join(starts.where("_n > 1").select("_tie", "_start", "_n"), "_tie").groupBy("_tie", "_start", "_n").agg(F.first("_row").alias("_row"))
+    chunks = one.withColumn(
         "_from",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(CHUNK).cast("bigint"))),
     )
-    if most > CHUNK:
-        chunks = chunks.repartition(_spread(df))
     copies = F.sequence("_from", F.least(F.col("_from") + CHUNK, F.col("_n")) - 1)
-    return chunks.select("_start", *df.columns, F.explode(copies).alias("_k")).select(
-        (F.col("_start") + F.col("_k")).alias(index), *df.columns
-    )
+    copied = chunks.select("_start", "_row", F.explode(copies).alias("_c")).select((F.col("_start") + F.col("_c")).alias(index), "_row")
+    return single.union(copied).select(index, "_row.*")
 
 
 def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first n rows in the given order."""
-    if n <= SMALL_HEAD:
-        return df.orderBy(*order).limit(n)
+    """The first n rows in the given order, ties by a hash of the row: one way for every n."""
     return with_row_index(df, order, "_idx").where(F.col("_idx") < n).drop("_idx")
 
 

@@ -48,14 +48,14 @@ def extract_events(
 ) -> DataFrame:
     """Event records of the rows of `df`, which has `sentence` and a row key.
 
-    With a caller's classifier the plan has no shuffle at all; the built-in
-    model groups the terms of a sentence by `key`.
+    The sentences are classified first and the labelled rows annotated then:
+    the built-in model reads its input twice (terms and rows), an annotator
+    behind it runs once. With a caller's classifier the plan has no shuffle at
+    all; the built-in model groups the terms of a sentence by `key`.
     """
-    related = with_extracted_relations(
-        df, load_annotator=load_annotator, load_extractor=load_extractor
-    )
     if load_classifier is not None:
-        labelled = plugins.classify_with(related, load_classifier)
+        labelled = plugins.classify_with(df, load_classifier)
     else:
-        labelled = predict(model, related, key=key)
-    return records.extract_event(labelled)
+        labelled = predict(model, df, key=key)
+    related = with_extracted_relations(labelled, load_annotator=load_annotator, load_extractor=load_extractor)
+    return records.extract_event(related)
