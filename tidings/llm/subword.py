@@ -46,8 +46,8 @@ class Features:
         inside = _letters()[x] if self.letters else ~np.isin(x, SPACES)
         return np.where(inside, x, 0).astype(np.uint64)
 
-    def buckets(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(position, bucket) of each kind of feature. x starts and ends with 0."""
+    def buckets(self, x: np.ndarray, texts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(position, bucket) of each kind of feature. x starts and ends with 0; `texts` has the first positions of its texts."""
         gap = x == 0
         ends = np.cumsum(gap)
         shift = np.uint64(64 - self.bits)
@@ -73,8 +73,10 @@ class Features:
             words = (words ^ (words >> np.uint64(29))) * MIX
             yield starts, words >> shift
             # A pair's hash is the difference of its words', so that all doubled words share one bucket.
-            pairs = words[1:] - words[:-1]
-            yield starts[1:], ((pairs ^ (pairs >> np.uint64(31))) * MIX) >> shift
+            owner = np.searchsorted(texts, starts, side="right")
+            same = np.flatnonzero(owner[1:] == owner[:-1])
+            pairs = words[same + 1] - words[same]
+            yield starts[same + 1], ((pairs ^ (pairs >> np.uint64(31))) * MIX) >> shift
 
 
 def blocks(features: Features, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -113,7 +115,7 @@ def table_sums(features: Features, table: np.ndarray, texts: Sequence[str | None
     sums, counts = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts))
     columns = np.ascontiguousarray(table.T)
     for own, starts, x in blocks(features, texts):
-        for at, bucket in features.buckets(x):
+        for at, bucket in features.buckets(x, starts):
             # A feature at the mark before a text belongs to that text.
             cuts = np.searchsorted(at, np.append(starts - 1, len(x)))
             n = np.diff(cuts)
@@ -129,8 +131,8 @@ def table_sums(features: Features, table: np.ndarray, texts: Sequence[str | None
 def bag(features: Features, text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
     total = np.zeros(1 << features.bits)
-    for _, _, x in blocks(features, [text]):
-        for _, bucket in features.buckets(x):
+    for _, starts, x in blocks(features, [text]):
+        for _, bucket in features.buckets(x, starts):
             total += np.bincount(bucket.astype(np.int64), minlength=len(total))
     found = np.flatnonzero(total)
     return found.astype(np.int32), (total[found] / max(total.sum(), 1)).astype(np.float32)
