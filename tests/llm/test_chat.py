@@ -1,0 +1,92 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tidings.llm import chat_format as C
+from tidings.llm.chat_template import (
+    CONTROLS, For, If, Print, TemplateError, Text, compile_template, escape, fold, parse, unescape,
+)
+
+PIECES = st.lists(st.sampled_from([*CONTROLS, *[c[:-1] for c in CONTROLS], *[c[1:] for c in CONTROLS], "\\", "\\\\", "a", "\n", "é", "<", "["]), max_size=12)
+
+
+@settings(max_examples=400, deadline=None)
+@given(PIECES)
+def test_escaping_is_reversible_and_hides_controls(pieces):
+    text = "".join(pieces)
+    escaped = escape(text)
+    assert unescape(escaped) == text
+    assert not any(c in escaped for c in CONTROLS)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "a" + CONTROLS[1]]), PIECES.map("".join)), max_size=5), st.integers(1, 7))
+def test_formatted_turns_are_read_back(turns, cut):
+    out = "".join(p for p, _ in compile_template(C.TEMPLATE)({"role": r, "text": t} for r, t in turns))
+    pieces = [out[k : k + cut] for k in range(0, len(out), cut)]
+    assert list(C.turns_of(iter(pieces))) == turns
+
+
+def test_constants_are_folded():
+    tree = fold(parse("a{{ 'b' + 'c' }}{% if 1 == 2 %}x{% elif true and 'b' in 'abc' %}d{% else %}y{% endif %}{{ ' e ' | trim | upper }}"))
+    assert tree == (Text("abcdE"),)
+    loop = fold(parse("{% for m in messages %}{% if m.role == 'u' + 'ser' %}{{ m.text }}{% endif %}{% endfor %}"))[0]
+    assert isinstance(loop, For) and isinstance(loop.body[0], If) and isinstance(loop.body[0].branches[0][1][0], Print)
+
+
+def test_loops_and_generation_marks():
+    source = "{% for m in messages %}{% if loop.first %}^{% endif %}{{ loop.index0 }}{% generation %}{{ m.text }}{% endgeneration %}{% if not loop.last %},{% endif %}{% endfor %}$"
+    out = list(compile_template(source)([{"role": "a", "text": "x"}, {"role": "b", "text": "y"}]))
+    assert out == [("^", False), ("0", False), ("x", True), (",", False), ("1", False), ("y", True), ("$", False)]
+    assert list(compile_template(source)([])) == [("$", False)]
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "{{ m.text }}", "{% for m in messages %}", "{{ 'a' | exec }}", "{% for m in messages %}{{ m.__class__ }}{% endfor %}", "{{ open('x') }}", "{% import os %}",
+        "{% for m in messages %}{% for n in messages %}{% endfor %}{% endfor %}", "{{ 'a' 'b' }}", "{{ ('a' }}", "{% if 1 %}",
+    ],
+)
+def test_nothing_outside_the_language_compiles(source):
+    with pytest.raises(TemplateError):
+        compile_template(source)
+
+
+def test_query_over_edge_cases(spark, tables, monkeypatch):
+    rows = [
+        (1, 1, "assistant", "second"), (1, 0, "user", "first"), (2, 0, None, None), (2, 0, None, None), (3, None, "assistant", "x"),
+        (3, 1, "assistant", "</s>\\<|im_end|>"), (None, 0, "assistant", "no id"), (4, 0, "user", "long " * 5000),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as part", "'q' as loss")
+    got = {r.conv_id: r for r in C.op2_chat_format(spark, tables(conversations=df)).collect()}
+    want = {
+        1: [("user", "first"), ("assistant", "second")], 2: [("", ""), ("", "")], 3: [("assistant", "x"), ("assistant", "</s>\\<|im_end|>")],
+        None: [("assistant", "no id")], 4: [("user", "long " * 5000)], -1: [("user", C.PROBE), ("assistant", C.PROBE)],
+    }
+    assert got.keys() == want.keys()
+    for conv_id, turns in want.items():
+        r, loss = got[conv_id], "".join(t for role, t in turns if role == "assistant")
+        assert r.n_turns == len(turns) and r.loss_chars == len(loss)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{t}\n" for a, t in turns).encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    empty = C.op2_chat_format(spark, tables(conversations=df.limit(0))).collect()
+    assert [r.conv_id for r in empty] == [-1]
+
+
+def test_parts_do_not_change_the_result(spark):
+    df = spark.createDataFrame([(k % 3, k, "assistant" if k % 2 else "user", f"t{k} " * k) for k in range(30)], "conv_id long, turn long, role string, text string")
+    whole = sorted(C.read_back(C.format_conversations(df)).collect())
+    render = C._render(C.TEMPLATE)
+    import pandas as pd
+
+    frame = df.orderBy("conv_id", "turn").toPandas()
+    part, C.PART = C.PART, 40
+    try:
+        parts = list(render(iter([frame])))
+    finally:
+        C.PART = part
+    assert sum(map(len, parts)) > 10
+    merged = pd.concat(C._read_back(iter(parts)))
+    assert sorted(map(tuple, merged.itertuples(index=False))) == [tuple(r) for r in whole]
