@@ -215,7 +215,7 @@ def test_scoring_of_no_rows_and_of_one_long_text(spark, tables):
     assert M.op10_context_tree_scoring(spark, tables(documents=empty)).count() == 0
     docs = spark.createDataFrame([(1, "to be or not to be " * 30_000), (2, "to be or not")], "doc_id long, text string")
     got = {r.doc_id: r for r in M.score_documents(docs, is_remainder(F.col("doc_id"), 7, 99)).collect()}
-    assert got[1].n_tokens == 180_001 and got[1].score / got[1].n_tokens > -0.01
+    assert got[1].n_tokens == 180_001 and got[1].score / got[1].n_tokens > -0.12  # two even choices in six words
     only_held = M.score_documents(docs, F.lit(True)).collect()
     assert {round(r.score / math.log10(0.5)) for r in only_held} == {8 * (len("to be or not to be " * 30_000)), 8 * 13}
 
