@@ -20,6 +20,7 @@ HEADLINES = (
     "l15_gold_frame",
     "t06_vocabulary",
     "t07_tfidf",
+    "t09_predict",
     "r15_r19_relations",
     "p01_extract_event",
     "e05_e13_evaluation_report",

@@ -119,3 +119,48 @@ def test_batches_number_every_row(spark):
     batches = ops.micro_batches(numbered, 8).orderBy("batch").collect()
     items = [i for b in batches for i in json.loads(b["items"])]
     assert [i["idx"] for i in items] == list(range(50)) and len(batches) == 7
+
+
+def test_values_are_shown_as_python_shows_them(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tidings.functions import answers as A
+
+    values = ['"x"', '["A","B"]', '{"a":1}', "1.0", "1", "1e20", "1.5", "1e-7", "12345678.5", "true", '[1,"it\'s",null,2.0]', "[[1],2]"]
+    df = spark.createDataFrame([(k, '{"who":%s}' % v) for k, v in enumerate(values)], "k int, raw string")
+    got = [r.who for r in df.orderBy("k").select(A.relation_answer(F.col("raw"))["who"].alias("who")).collect()]
+    assert got == [str(json.loads(v)) for v in values]
+
+
+def test_numbers_beyond_the_standard_and_repeated_keys(spark):
+    from pyspark.sql import functions as F
+
+    from tidings.functions import answers as A
+
+    raws = ['{"label": "A", "confidence": Infinity}', '{"label": "A", "confidence": NaN}', '{"label": "Q", "label": "A"}']
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(raws)], "k int, raw string")
+    labels = F.array(F.lit("A"), F.lit("B"))
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    got = df.orderBy("k").select(A.class_answer(F.col("raw"), labels, F.lit("B")).alias("a")).select("a.*").collect()
+    assert [r.label for r in got] == ["A", "A", "A"]
+    assert got[0].confidence == 1.0
+
+
+def test_falsy_labels_of_a_batch_are_empty(spark):
+    from tidings.operators import answers as ops
+
+    raw = '[{"idx":1,"label":false},{"idx":2,"label":["A"]},{"idx":3,"label":0},{"idx":4,"label":[]}]'
+    rows = ops.parse_batch_answers(spark.createDataFrame([(0, raw)], "k int, raw string")).collect()
+    assert {r.idx: r.label for r in rows} == {1: "", 2: "['A']", 3: "", 4: ""}
+
+
+def test_batch_items_look_like_a_json_writers(spark):
+    import json
+
+    from tidings.operators import answers as ops
+
+    items = [{"idx": 0, "sentence": 'a "q" ą\n'}, {"idx": 1, "sentence": None}]
+    df = spark.createDataFrame([(i["idx"], i["sentence"]) for i in items], "idx long, sentence string")
+    assert ops.micro_batches(df, 8).first()["items"] == json.dumps(items, ensure_ascii=False)

@@ -43,8 +43,8 @@ def test_tfidf_against_brute_force(spark):
     vocabulary = features.fit_vocabulary(terms, len(texts), max_df=0.5)
     known = {r.term: r.idf for r in vocabulary.collect()}
     assert known == {"ma": pytest.approx(math.log(6 / 3) + 1), "ala ma": pytest.approx(math.log(6 / 3) + 1)}
-    for rows in (None, 2, 10**9):
-        weights = features.tfidf(terms, vocabulary, vocabulary_rows=rows).collect()
+    for size in (None, 2, 10**12):
+        weights = features.tfidf(terms, vocabulary, vocabulary_bytes=size).collect()
         assert {(r.id, r.term) for r in weights} == {(k, t) for k in (0, 1) for t in known}
         assert all(r.weight == pytest.approx(math.sqrt(0.5)) for r in weights)
 
@@ -81,11 +81,18 @@ def test_sample_and_head(spark):
     assert first == {r.id for r in sampling.sample_n(df.repartition(7), 100, ["id"], 3).collect()}
     assert first != {r.id for r in sampling.sample_n(df, 100, ["id"], 4).collect()}
     assert sampling.limit_rows(df, 0, sample=True, key=["id"]).count() == 1000
-    small, sampling.SMALL_HEAD = sampling.SMALL_HEAD, 10
-    try:
-        assert sorted(r.id for r in sampling.head_n(df, 20, ["id"]).collect()) == list(range(20))
-    finally:
-        sampling.SMALL_HEAD = small
+    assert sorted(r.id for r in sampling.head_n(df, 20, ["id"]).collect()) == list(range(20))
+
+
+def test_head_with_equal_order_keys_and_maps(spark):
+    df = spark.range(40).selectExpr("cast(id % 5 as int) as k", "map('a', id div 10) as m")
+    numbered = sorted((r.idx, r.k) for r in sampling.with_row_index(df, ["k"]).collect())
+    assert [i for i, _ in numbered] == list(range(40))
+    assert [k for _, k in numbered] == sorted(k for _, k in numbered)
+    for n in (0, 3, 11, 40, 100):
+        first = sorted((r.k, str(r.m)) for r in sampling.head_n(df, n, ["k"]).collect())
+        again = sorted((r.k, str(r.m)) for r in sampling.head_n(df.repartition(5), n, ["k"]).collect())
+        assert len(first) == min(n, 40) and first == again
 
 
 def test_keyword_rules(spark):
@@ -168,3 +175,16 @@ def test_stream_of_sentences(spark, tmp_path):
     query.awaitTermination(60)
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect()
     assert [(r.event_type, r.trigger) for r in got] == [("PROTEST", "protestuje"), ("BRAK_ZDARZENIA", None)]
+
+
+def test_two_decimals_round_the_binary_value(spark):
+    from tidings.operators.records import two_decimals
+
+    values = [0.125, 0.285, 1.005, 0.375, 0.0, 1.0, 0.999, 0.995, 0.445, 0.005, 0.015, 2.675, -0.125]
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double").orderBy("k")
+    assert [r[0] for r in df.select(two_decimals(F.col("v"))).collect()] == [f"{v:.2f}" for v in values]
+
+
+def test_all_line_breaks_split(spark):
+    df = spark.createDataFrame([("a\x1cb\x1dc\x1ed\r\ne\u2028f",)], "t string")
+    assert df.select(T.lines(F.col("t"))).first()[0] == list("abcdef")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.catalog import inputs
+from tidings.catalog import features as features_catalog, inputs
+from tidings.catalog.features import TFIDF_CTE
 from tidings.catalog.registry import query
 from tidings.catalog.relations import RELATIONS_CTE
-from tidings.operators import classify, metrics, records, sampling
+from tidings.operators import classify, features, metrics, records, sampling
 from tidings.operators.relations import with_relations
 from tidings.plans import training
+from tidings.session import fresh_path
+from tidings.sources.model_store import load_model, save_model
 
 SEED = 42
 # Keyword rules with words that the driver texts contain.
@@ -155,14 +158,59 @@ def t12(spark, sf):
     return classify.label_decoder(indexer, "code", "decoded").transform(coded)
 
 
+def _labelled(spark, sf):
+    return inputs.table(spark, sf, "documents").selectExpr("doc_id", "lang as label", "text as sentence")
+
+
 @query("t08_t09_t13_train_predict")
 def t13(spark, sf):
     """Fit on the documents, then classify all of them; solver results have no SQL."""
-    df = inputs.table(spark, sf, "documents").selectExpr("doc_id", "lang as label", "text as sentence")
-    model, _report = training.train_event_type(df, seed=SEED, max_iter=40)
+    df = _labelled(spark, sf)
+    model, _report = training.train_event_type(df, seed=SEED)
     return training.predict(model, df.drop("label"), key="doc_id", rules=RULES).select("doc_id", "label", "confidence")
 
 
+@query("t13_training_report")
+def t13_report(spark, sf):
+    """The report on the test side; a saved and loaded model gives the one that is shown."""
+    df = _labelled(spark, sf)
+    model, report = training.train_event_type(df, seed=SEED, oversample=False)
+    path = fresh_path(spark, "saved-model")
+    save_model(model, path)
+    answers = training.predict(load_model(spark, path), df.withColumnRenamed("label", "true_label"), key="doc_id", rules=())
+    whole = metrics.classification_report(answers, "true_label", "label")
+    return report.withColumn("part", F.lit("test")).unionByName(whole.withColumn("part", F.lit("all"))).select(
+        "part", "kind", "label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support"
+    )
+
+
+# A model made by arithmetic: every coefficient is a rule of the term's length and block.
+_COEFFICIENTS = "((length(term)*{0}+case when block='word' then 3 else 1 end)%7-3)/10.0"
+_SUMS = ", ".join(f"sum(weight*({_COEFFICIENTS.format(k)})) as s{k}" for k in (2, 3, 5))
+_LABELS3 = ("A", "B", "C")
+_INTERCEPTS = (0.05, 0.0, -0.05)
+
+
+@query("t09_predict", f"""with {TFIDF_CTE}, sums as (select doc_id, {_SUMS} from weights group by doc_id),
+ z as (select doc_id, coalesce(s2,0)+0.05 as a, coalesce(s3,0) as b, coalesce(s5,0)-0.05 as c from documents left join sums using (doc_id)),
+ p as (select *, greatest(a,b,c) as top, exp(a-greatest(a,b,c))+exp(b-greatest(a,b,c))+exp(c-greatest(a,b,c)) as total from z)
+select doc_id, case when a=top then 'A' when b=top then 'B' else 'C' end as label, round(1/total, 5) as confidence from p""")
+def t09(spark, sf):
+    terms = features_catalog.vocabulary(spark, sf).withColumn(
+        "coefficients", F.array(*[F.expr(f"cast({_COEFFICIENTS.format(k)} as double)") for k in (2, 3, 5)])
+    )
+    model = training.EventTypeModel(terms, features.table_bytes(terms), _LABELS3, _INTERCEPTS, features_catalog.STOP_WORDS)
+    docs = inputs.table(spark, sf, "documents").selectExpr("doc_id", "text as sentence")
+    found = training.predict(model, docs, key="doc_id", rules=())
+    return found.select("doc_id", "label", F.round("confidence", 5).alias("confidence"))
+
+
+@query("p05_two_decimals", "select event_id, printf('%.2f', ((event_id*37)%4000)/1000.0::double) as shown from events")
+def p05_decimals(spark, sf):
+    events = inputs.table(spark, sf, "events").selectExpr("event_id", "cast((event_id*37)%4000 as double)/1000 as c")
+    return events.select("event_id", records.two_decimals(F.col("c")).alias("shown"))
+
+
 # --- reports ---------------------------------------------------------------
 
 _PAIRS = "case when doc_id%4=0 then 'WYPADEK' when doc_id%4=1 then 'POLITYKA' when doc_id%9=0 then 'X' else 'PROTEST' end"

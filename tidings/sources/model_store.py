@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tidings.operators.features import table_bytes
 from tidings.plans.training import EventTypeModel
 
 _RULES = "rule_order int, label string, keywords array<string>"
@@ -36,7 +37,7 @@ def load_model(spark: SparkSession, path: str) -> EventTypeModel:
     terms = spark.read.parquet(f"{path}/terms")
     return EventTypeModel(
         terms=terms,
-        n_terms=terms.count(),
+        n_bytes=table_bytes(terms),
         labels=tuple(r.label for r in small("labels", "position")),
         intercepts=tuple(r.value for r in small("intercepts", "position")),
         stop_words=tuple(r.word for r in small("stop_words", "word")),
