@@ -186,6 +186,20 @@ def x13(spark, sf):
     return ops.micro_batches(with_row_index(docs, ["id", "sentence"]), 8)
 
 
+_BATCH_HEAD, _BATCH_TAIL = ops.BATCH_PROMPT.replace("{labels}", ", ".join(LABELS)).replace("'", "''").split("{text}")
+_SYSTEMS = {"batch": ops.BATCH_SYSTEM, "class": ops.CLASS_SYSTEM, "relation": ops.RELATION_SYSTEM}
+
+
+@query("x12_batch_prompts", f"""with n as (select row_number() over (order by doc_id, text)-1 as idx, text as sentence from documents),
+ b as (select cast(floor(idx/8) as bigint) as batch, '['||string_agg('{{"idx": '||idx||', "sentence": '||to_json(sentence)||'}}', ', ' order by idx)||']' as items from n group by 1)
+select batch, md5('{_BATCH_HEAD}'||items||'{_BATCH_TAIL}') as prompt, {', '.join(f"md5('{t.replace(chr(39), chr(39) * 2)}') as {k}_system" for k, t in _SYSTEMS.items())} from b""")
+def x12_batch(spark, sf):
+    docs = inputs.table(spark, sf, "documents").selectExpr("doc_id as id", "text as sentence")
+    batches = ops.micro_batches(with_row_index(docs, ["id", "sentence"]), 8)
+    prompt = F.md5(ops.prompt(ops.BATCH_PROMPT, F.col("items"), ops.label_list(LABELS))).alias("prompt")
+    return batches.select("batch", prompt, *[F.md5(F.lit(t)).alias(f"{k}_system") for k, t in _SYSTEMS.items()])
+
+
 @query("e18_answer_report", f"""with {PHRASES_CTE}, {matched_cte(True)}, rep as ({report_sql('matched', True, ())}),
  c as (select label as t, case when id%5=0 then 'WYPADEK' when id%7=0 then 'PROTEST' else label end as p from phrases),
  conf as (select t, p, count(*) as n from c group by t, p), names as (select t as l from conf union select p from conf),

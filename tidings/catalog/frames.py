@@ -30,12 +30,12 @@ def l15(spark, sf):
 @query("l13_gold_join_null_keys", f"""with {CLEAN_CTE}
 select h.id, label, count(*) as n from h join t on h.id is not distinct from t.id group by h.id, label""")
 def l13_match(spark, sf):
-    joined = frames.gold_join(
-        inputs.headlines(spark, sf), inputs.tagged(spark, sf).select("id", "kategoria"), "match"
-    )
-    return joined.groupBy("id", T.normalize_label(F.col("kategoria")).alias("label")).agg(
-        F.count("*").alias("n")
-    )
+    """Counted on both sides before the join: ids that are no numbers are one key, whose pairs are never made."""
+    left = inputs.headlines(spark, sf).groupBy(T.to_number(F.col("id")).cast("string").alias("id")).agg(F.count("*").alias("n_left"))
+    label = T.normalize_label(F.col("kategoria")).alias("label")
+    right = inputs.tagged(spark, sf).groupBy(T.to_number(F.col("id")).cast("string").alias("id"), label).agg(F.count("*").alias("n_right"))
+    joined = frames.gold_join(left, right, "match")
+    return joined.select("id", "label", (F.col("n_left") * F.col("n_right")).alias("n"))
 
 
 @query("l13_gold_join", f"""with {CLEAN_CTE}
@@ -51,23 +51,16 @@ def l13(spark, sf):
     )
 
 
-@query("l03_missing_tokens", f"""with {TAGGED_CTE}
-select kategoria, sum(case when id='NA' then 1 else 0 end)::bigint as missing_id,
- sum(case when KTO is null then 1 else 0 end)::bigint as missing_who,
- sum(case when TRIGGER is null then 1 else 0 end)::bigint as missing_trigger from tagged group by kategoria""")
-def l03(spark, sf):
-    clean = inputs.tagged(spark, sf).select(
-        "kategoria", *[T.missing_to_null(F.col(c)).alias(c) for c in ("id", "KTO", "TRIGGER")]
-    )
+_MISSING = {"id": "id", "KTO": "who", "CO": "what", "TRIGGER": "trigger", "GDZIE": "where", "KIEDY": "when"}
 
-    def missing(c):
-        return F.sum(F.col(c).isNull().cast("bigint"))
 
-    return clean.groupBy("kategoria").agg(
-        missing("id").alias("missing_id"),
-        missing("KTO").alias("missing_who"),
-        missing("TRIGGER").alias("missing_trigger"),
-    )
+@query("l03_missing_tokens", f"""with {TAGGED_CTE}
+select kategoria, count(*) as n, {', '.join(f"sum(case when {c} is null or {c}='NA' then 1 else 0 end)::bigint as missing_{name}" for c, name in _MISSING.items())}
+from tagged group by kategoria""")
+def l03(spark, sf):
+    clean = inputs.tagged(spark, sf).select(*[T.missing_to_null(F.col(c)).alias(c) for c in frames.TAGGED_COLUMNS])
+    missing = [F.sum(F.col(c).isNull().cast("bigint")).alias(f"missing_{name}") for c, name in _MISSING.items()]
+    return clean.groupBy("kategoria").agg(F.count("*").alias("n"), *missing)
 
 
 @query("l05_coerce_id", f"""with {HEADLINES_CTE}
@@ -103,17 +96,18 @@ def l07(spark, sf):
     return docs.select("doc_id", T.py_strip(padded).alias("stripped"))
 
 
-@query("l08_l09_l10_gold_columns", f"""with {TAGGED_CTE}
-select {duck_strip("coalesce(KTO,'')")} as gold_who, {duck_strip("coalesce(TRIGGER,'')")} as gold_trigger,
- {duck_strip("coalesce(KIEDY,'')")} as gold_when, count(*) as n from tagged group by 1,2,3""")
+_GOLD = ", ".join(f"""{duck_strip(f"coalesce({c},'')")} as {name}""" for c, name in frames.GOLD_RENAMES.items())
+
+
+@query("l08_l09_l10_gold_columns", f"with {TAGGED_CTE} select {_GOLD}, count(*) as n from tagged group by all")
 def l10(spark, sf):
-    names = ("KTO", "TRIGGER", "KIEDY")
     gold = (
         inputs.tagged(spark, sf)
-        .select(*[T.gold_text(F.col(c)).alias(c) for c in names])
+        .select(*[T.gold_text(F.col(c)).alias(c) for c in frames.GOLD_RENAMES])
         .withColumnsRenamed(frames.GOLD_RENAMES)
     )
-    return gold.groupBy("gold_who", "gold_trigger", "gold_when").agg(F.count("*").alias("n"))
+    return gold.groupBy(*frames.GOLD_RENAMES.values()).agg(F.count("*").alias("n"))
+
 
 
 @query("l11_drop_empty", f"""with {HEADLINES_CTE}

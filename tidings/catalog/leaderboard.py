@@ -8,6 +8,8 @@ from tidings.catalog import inputs
 from tidings.catalog.registry import query
 from tidings.functions.text import model_key
 from tidings.operators.leaderboard import merge_leaderboards, model_metrics
+from tidings.session import fresh_path
+from tidings.sources.leaderboard import scan_leaderboards
 
 # Every event is one metric row; three "files" by priority, ids give the order.
 _SCAN = """select event_id as row_pos, user_id%3 as priority, 'file'||cast(user_id%3 as string) as __source,
@@ -29,6 +31,22 @@ def a08(spark, sf):
     return merge_leaderboards(_scan(spark, sf))
 
 
+_FILE = "select event_type||cast(user_id%20 as string) as Model, avg(value) as Accuracy, count(*) as n from events where user_id%3={} group by 1"
+
+
+@query("s05_scanned_leaderboards", f"""with files as ({' union all '.join(f"select {k} as priority, * from ({_FILE.format(k)})" for k in range(3))})
+select Model as "Model", round(Accuracy, 6) as "Accuracy", n::double as n from files qualify row_number() over (partition by Model order by priority desc)=1""")
+def s05(spark, sf):
+    """Three files with metrics, one that is missing and one without a Model column."""
+    path, events = fresh_path(spark, "leaderboards"), inputs.table(spark, sf, "events")
+    for k in range(3):
+        file = spark.sql(_FILE.format(k).replace("from events", "from {t}"), t=events)
+        file.write.options(header=True).csv(f"{path}/{k}.csv")
+    events.select("event_id").write.options(header=True).csv(f"{path}/other.csv")
+    scanned = scan_leaderboards(spark, [f"{path}/{name}.csv" for name in ("0", "missing", "1", "other", "2")])
+    return merge_leaderboards(scanned).select("Model", F.round("Accuracy", 6).alias("Accuracy"), "n")
+
+
 @query("m01_model_metrics", f"""with {MERGED_CTE}, f as (select event_id, {_PATH} as path from events)
 select event_id, path, k as model_key, __source, "Accuracy", n from (select *, {_KEY} as k from f) left join merged on k="Model" """)
 def m01(spark, sf):

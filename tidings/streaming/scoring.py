@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidings.plans.extraction import extract_events
-from tidings.session import fresh_path
 
 
 def write_event_stream(
@@ -19,8 +18,10 @@ def write_event_stream(
 
     Each micro-batch runs the batch plan. Its folder carries the batch number
     and is overwritten when a batch is repeated, so no record appears twice.
+    Offsets are kept beside the output unless a folder is named: a restart goes
+    on where it stopped, and its batch numbers with it.
     """
-    checkpoint = checkpoint or fresh_path(sentences.sparkSession, "event-stream")
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoint"
 
     def write(batch: DataFrame, number: int) -> None:
         extract_events(batch, **extraction).write.mode("overwrite").parquet(f"{path}/batch={number}")
