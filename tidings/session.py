@@ -43,9 +43,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Intermediate paths given out by this process, for `written_paths`.
+_PATHS: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else writes to."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _PATHS.append(path)
+    return path
+
+
+def written_paths() -> list[str]:
+    """All intermediate paths so far, oldest first; once their results are no longer read, the caller may remove them."""
+    return list(_PATHS)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
