@@ -196,6 +196,7 @@ def plain_scores(rows):
 @pytest.mark.parametrize("block", [400, 1 << 25])
 def test_context_tree_against_a_plain_one(spark, tables, monkeypatch, block):
     monkeypatch.setattr(M, "BLOCK_BYTES", block)
+    monkeypatch.setattr(M, "BUCKET_BYTES", block // 2)
     rng = random.Random(2)
     vocabulary = ["the", "of", "River", "stone", "étude", "a", "walked", "x1"]
     rows = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 25)))) for k in range(30)]
