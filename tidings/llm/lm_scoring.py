@@ -373,7 +373,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
 
     Trains on the rows that are not held out. Null and empty texts have one
     token, their end. Repeated rows count and score as often as they are
-    there. Without training rows every bit has probability 1/2.
+    there; rows equal in id and text are in one block. Without training rows
+    every bit has probability 1/2.
     """
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
