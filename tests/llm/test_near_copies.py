@@ -189,3 +189,88 @@ def test_shared_passages_are_found_and_clean_texts_are_not(spark, tables):
         groups[r.a] = r.b
     assert all(groups.get(k, k) == k % 4 for k in sharing)
     assert P.op4_substring_dedup(spark, tables(documents=docs.limit(0))).count() == 0
+
+
+def brute_starts(texts, length=46):
+    """(document, start) that has a passage at another document's same or any shift of at least 0.8."""
+    found = set()
+    shingles = {k: P.shingle_hashes(t).tolist() for k, t in texts.items()}
+    for a, x in shingles.items():
+        for b, y in shingles.items():
+            if a >= b:
+                continue
+            sets = [set(y[k : k + length]) for k in range(len(y) - length + 1)]
+            for p in range(len(x) - length + 1):
+                mine = set(x[p : p + length])
+                for q, theirs in enumerate(sets):
+                    shared = len(mine & theirs)
+                    if shared * 1.8 >= 0.8 * (len(mine) + len(theirs)):
+                        found |= {(a, p), (b, q)}
+    return found
+
+
+@pytest.mark.parametrize("n,edits", [(51, 0), (51, 1), (55, 1), (60, 1)])
+def test_short_passages_with_an_edit_against_brute_force(spark, n, edits):
+    rng = random.Random(n + edits)
+    rows, sought = [], set()
+    for k in range(60):
+        passage = words(rng, n)
+        both = []
+        for doc in (2 * k, 2 * k + 1):
+            own = passage.copy()
+            if edits and doc % 2:
+                own[rng.randrange(n)] = "edited"
+            both.append((doc, " ".join(words(rng, rng.randint(20, 60)) + own + words(rng, rng.randint(20, 60)))))
+        rows += both
+        sought |= {d for d, _ in brute_starts(dict(both))}
+    _, passages = P.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id for r in passages.collect()}
+    assert got <= sought and len(got) >= 0.99 * len(sought) and len(sought) > 80
+
+
+@pytest.mark.parametrize("bucket,block", [(64, 2048), (1, 2048), (1, 7)])
+def test_every_edited_copy_finds_its_partner_among_hubs(spark, monkeypatch, bucket, block):
+    """Texts that share a short phrase, of which only some are near copies of each other."""
+    monkeypatch.setattr(P, "BUCKET", bucket)
+    monkeypatch.setattr(P, "BLOCK", block)
+    rng = random.Random(3)
+    phrase, texts = words(rng, 12), {}
+    for k in range(30):
+        around = words(rng, 34), words(rng, 34)
+        for copy in range(1 + (k % 3 == 0)):
+            text = around[0] + phrase + around[1]
+            text[3 if copy else 75] = "edited"
+            texts[len(texts)] = " ".join(text)
+    texts[100] = " ".join([*texts[0].split(), *words(rng, 60), *texts[0].split()])
+    sought = brute_starts(texts)
+    links, passages = P.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    spans = [(r.doc_id, r.start_word, r.n_words) for r in passages.collect()]
+    covered = {(d, s) for d, at, n in spans for s in range(at, at + n - 49)}
+    assert {d for d, _ in sought} == {d for d, _ in covered}
+    # Brute force also takes passages laid over each other at another shift than their shared shingles have, at the texts' ends.
+    assert len(covered & sought) >= 0.97 * len(sought)
+    assert {d for d, at, _ in spans if d == 100 and at > 90} == {100}
+    assert all(r.similarity >= 0.8 and r.a < r.b for r in links.collect())
+
+
+def test_similarities_of_all_starts_against_sets():
+    rng = np.random.default_rng(9)
+    for alphabet in (6, 30, 10**6):
+        length, rows = 8, []
+        base = rng.integers(0, alphabet, 15)
+        for _ in range(12):
+            row = base.copy()
+            row[rng.integers(0, 15, 2)] = rng.integers(0, alphabet, 2)
+            lo, hi = sorted(rng.integers(0, length, 2))
+            rows.append((row[lo : hi + length], lo - length + 1, hi - length + 1))
+        s = P.Slices(np.concatenate([r for r, _, _ in rows]), np.array([len(r) for r, _, _ in rows]), np.array([b for _, b, _ in rows]), np.array([a for _, _, a in rows]), length, 0.5)
+        i, j = map(np.array, zip(*[(i, j) for i in range(12) for j in range(i)]))
+        found, ratio = s.similarities(i, j)
+        got = {(int(i[f]), int(j[f]), at): r for f, row in zip(found, ratio) for at, r in enumerate(row) if r}
+        want = {}
+        for a, b in zip(i.tolist(), j.tolist()):
+            for at in range(length):
+                x, y = (set(rows[k][0][at - rows[k][1] - length + 1 :][:length].tolist()) if rows[k][1] <= at - length + 1 <= rows[k][2] else set() for k in (a, b))
+                if x and y and len(x & y) / len(x | y) >= 0.5:
+                    want[(a, b, at)] = len(x & y) / len(x | y)
+        assert got == pytest.approx(want) and want
