@@ -163,6 +163,18 @@ def test_train_save_load_predict(spark, tmp_path):
         save_model(Fixed(), str(tmp_path / "n"))
 
 
+def test_a_bounded_fit_keeps_the_whole_vocabulary_and_every_label(spark):
+    rows = [("A", f"kot numer {k} {w}") for k in range(12) for w in ("rano", "wieczorem")] + [("B", f"pies {k} noc") for k in range(8)]
+    rows += [("C", f"premier {k} dom") for k in range(3)]
+    df = spark.createDataFrame(rows, "label string, sentence string")
+    whole, _ = training.train_event_type(df, max_iter=3)
+    model, _ = training.train_event_type(df, max_iter=3, max_fit_rows=4)
+    terms = lambda m: {(r.block, r.term, r.idf) for r in m.terms.collect()}
+    assert terms(model) == terms(whole)
+    assert model.labels == ("A", "B", "C")
+    assert {len(r.coefficients) for r in model.terms.collect()} == {3}
+
+
 def test_stream_of_sentences(spark, tmp_path):
     from tidings.streaming.scoring import write_event_stream
 
