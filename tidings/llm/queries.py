@@ -2,6 +2,7 @@
 
 from tidings.llm.chat_format import ORACLE as CHAT_ORACLE, op2_chat_format
 from tidings.llm.decontamination import op6_template_decontamination
+from tidings.llm.importance import ORACLE as IMPORTANCE_ORACLE, op11_importance_resampling
 from tidings.llm.language_id import op1_language_id
 from tidings.llm.lm_scoring import op10_context_tree_scoring
 from tidings.llm.mixing import op8_entropy_mixing
@@ -22,10 +23,12 @@ QUERIES = {
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_kd_sharding": op9_kd_sharding,
     "op10_context_tree_scoring": op10_context_tree_scoring,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 # The others have no SQL: models are trained, tilts solved by iteration, cuts depend on each other, and DuckDB has neither
 # zstandard ratios, XXH64 of a given seed, nor the look-behind of the template's tokens. They are tested against brute force.
 ORACLE = {
     "op2_chat_format": CHAT_ORACLE,
+    "op11_importance_resampling": IMPORTANCE_ORACLE,
 }
