@@ -109,28 +109,43 @@ class ForestSearch:
             if not len(joined):
                 continue
             first, last = forest.under(keys[:, joined], length)
-            fresh = np.zeros((len(joined), len(block.id)), bool)
-            for tree in range(self.trees):
-                whose, place = _spread(first[tree], last[tree])
-                fresh[whose, forest.order[tree][place]] = True
-            fresh &= ~seen[joined]
-            seen[joined] |= fresh
-            self._verify(queries, mine[joined], block, fresh, best)
+            whose, row = self._fresh(forest, first, last, joined, seen)
+            self._verify(queries, mine, forest, whose, row, best)
             done = self._missed(best.floor[mine[joined]], self.norms[mine[joined]], length, forest) <= self.miss
             ascending = np.setdiff1d(ascending, joined[done], assume_unique=True)
 
-    def _verify(self, queries: V.Vectors, mine: np.ndarray, block: V.Vectors, fresh: np.ndarray, best: V.Best) -> None:
+    def _fresh(self, forest: Forest, first: np.ndarray, last: np.ndarray, joined: np.ndarray, seen: np.ndarray):
+        """Mark the rows under the prefixes as seen; the new ones as (query, row) pairs, or as a matrix when they are many."""
+        rows = seen.shape[1]
+        if (last - first).sum() * 8 < len(joined) * rows:
+            code = []
+            for tree in range(self.trees):
+                whose, place = _spread(first[tree], last[tree])
+                code.append(joined[whose] * rows + forest.order[tree][place])
+            code = np.unique(np.concatenate(code))
+            code = code[~seen.ravel()[code]]
+            seen.ravel()[code] = True
+            return code // rows, code % rows
+        fresh = np.zeros_like(seen)
+        for tree in range(self.trees):
+            whose, place = _spread(first[tree], last[tree])
+            fresh[joined[whose], forest.order[tree][place]] = True
+        fresh &= ~seen
+        seen |= fresh
+        return None, fresh
+
+    def _verify(self, queries: V.Vectors, mine: np.ndarray, forest: Forest, whose, row, best: V.Best) -> None:
         """Add the fresh rows' inner products; those near the floor are summed anew in one fixed order."""
-        whose, row = np.nonzero(fresh)
-        if len(whose) * 8 < fresh.size:
-            score = np.einsum("ij,ij->i", queries.x[mine[whose]], block.x[row])
+        x, block = queries.x[mine], forest.block
+        # No score's rounding exceeds this share of the largest possible one.
+        floor = best.floor[mine] - SLACK * (1 + self.norms[mine] * forest.norm)
+        if whose is not None:
+            near = np.einsum("ij,ij->i", x[whose], block.x[row]) >= floor[whose]
+            whose, row = whose[near], row[near]
         else:
             # Most of the block is under the prefixes: one product of matrices is cheaper than gathering rows.
-            score = (queries.x[mine] @ block.x.T)[whose, row]
-        room = SLACK * (1 + np.abs(score))
-        near = score + room >= best.floor[mine[whose]]
-        whose, row = mine[whose[near]], row[near]
-        best.add(whose, block.id[row], inner(queries.x[whose], block.x[row]))
+            whose, row = np.nonzero(row & (x @ block.x.T >= floor[:, None]))
+        best.add(mine[whose], block.id[row], inner(x[whose], block.x[row]))
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -84,26 +84,33 @@ def row_blocks(batches: Iterator[pa.RecordBatch], dimension: int, rows: int = BL
 
 
 class Best:
-    """The k best hits of each query so far: highest score first, ties to the smaller id."""
+    """The k best hits of each query so far: highest score first, ties to the smaller id; unused places score -inf."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
         self.k, self.floor = k, floor.copy()
-        self.query, self.id, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        self.n = n
+        self.id, self.score = np.zeros((n, k), np.int64), np.full((n, k), -np.inf)
 
     def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         """Take in hits and raise the floor of queries that have k."""
         good = score >= self.floor[query]
         if not good.any():
             return
-        query, ids, score = (np.concatenate(p) for p in ((self.query, query[good]), (self.id, ids[good]), (self.score, score[good])))
-        order = np.lexsort((ids, -score, query))
-        query, ids, score = query[order], ids[order], score[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
+        query, ids, score = query[good], ids[good], score[good]
+        touched = np.unique(query)
+        # Only the touched queries' present hits are ranked anew, as rows 0, 1, ... of a small table.
+        row = np.concatenate([np.repeat(np.arange(len(touched)), self.k), np.searchsorted(touched, query)])
+        ids = np.concatenate([self.id[touched].ravel(), ids])
+        score = np.concatenate([self.score[touched].ravel(), score])
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
         kept = place < self.k
-        self.query, self.id, self.score = query[kept], ids[kept], score[kept]
-        full = place == self.k - 1
-        self.floor[query[full]] = np.maximum(self.floor[query[full]], score[full])
+        self.id[touched], self.score[touched] = ids[kept].reshape(-1, self.k), score[kept].reshape(-1, self.k)
+        self.floor[touched] = np.maximum(self.floor[touched], self.score[touched, -1])
+
+    def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        query, place = np.nonzero(self.score > -np.inf)
+        return query, self.id[query, place], self.score[query, place]
 
 
 Search = Callable[[Vectors, Vectors, Best], None]
@@ -125,8 +132,8 @@ def hits(rows: DataFrame, queries: Vectors, k: int, search: Callable[[Vectors],
                 if found is None:
                     found, search_block = Best(len(own.id), k, floor.value), search(own)
                 search_block(own, block, found)
-            if found is not None and len(found.query):
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (found.query, found.id, found.score)], ["query", "id", "score"])
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in found.hits()], ["query", "id", "score"])
 
         return run
 
