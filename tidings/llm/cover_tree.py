@@ -112,11 +112,12 @@ class WindowSearch:
     query's own id is no hit.
     """
 
-    def __init__(self, queries: V.Vectors, same: bool):
+    def __init__(self, queries: V.Vectors, same: bool, leaf: int = LEAF, wave: int = WAVE):
+        self.leaf, self.wave = leaf, wave
         self.same, self.norms = same, np.sqrt((queries.x**2).sum(axis=1))
 
     def __call__(self, queries: V.Vectors, block: V.Vectors, best: V.Best) -> None:
-        tree = CoverTree(block.x)
+        tree = CoverTree(block.x, self.leaf)
         for start in range(0, len(queries.id), TOGETHER):
             mine = np.arange(start, min(start + TOGETHER, len(queries.id)))
             alive = np.ones((len(mine), 1), bool)
@@ -137,7 +138,7 @@ class WindowSearch:
         bound = np.where(alive, highest, -np.inf)
         order = np.argsort(-bound, axis=1)
         bound = np.take_along_axis(bound, order, axis=1)
-        at, wave = 0, WAVE
+        at, wave = 0, self.wave
         while at < order.shape[1]:
             left = (bound[:, at : at + wave] > -np.inf) & (bound[:, at : at + wave] >= best.floor[mine][:, None])
             whose, node = np.nonzero(left)
@@ -174,9 +175,9 @@ def candidates(table: DataFrame, *, shifted: Column, labels: int = 10) -> DataFr
 
 def _found(rows: DataFrame, queries: DataFrame, k: int, same: bool, dimension: int, columns: list[str]) -> DataFrame:
     """The named columns of each query with hit_rank, hit_id and hit_score."""
-    parts = []
+    parts, leaf, wave = [], LEAF, WAVE
     for block in V.query_blocks(queries, dimension):
-        found = V.hits(rows, block, k, lambda q: WindowSearch(q, same), dimension)
+        found = V.hits(rows, block, k, lambda q: WindowSearch(q, same, leaf, wave), dimension)
         about = {"query": np.arange(len(block.id)), "id": block.id, **block.more}
         # As many rows as the block of queries has.
         table = F.broadcast(rows.sparkSession.createDataFrame(pa.table({c: about[c] for c in ("query", *columns)})))

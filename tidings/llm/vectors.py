@@ -67,7 +67,7 @@ def query_blocks(queries: DataFrame, dimension: int) -> Iterator[Vectors]:
             yield found
 
 
-def row_blocks(batches: Iterator[pa.RecordBatch], dimension: int, rows: int = BLOCK_ROWS) -> Iterator[Vectors]:
+def row_blocks(batches: Iterator[pa.RecordBatch], dimension: int, rows: int) -> Iterator[Vectors]:
     """Arrow batches regrouped into blocks of `rows` rows, the last one of a task smaller."""
     waiting, n = [], 0
     for batch in batches:
@@ -122,13 +122,13 @@ def hits(rows: DataFrame, queries: Vectors, k: int, search: Callable[[Vectors],
     `search(queries)` makes the search of one task, which adds a block's hits
     to the `Best` so far.
     """
-    spark = rows.sparkSession
+    spark, block_rows = rows.sparkSession, BLOCK_ROWS
     shared = spark.sparkContext.broadcast(queries)
 
     def scan(floor):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, found = shared.value, None
-            for block in row_blocks(batches, dimension):
+            for block in row_blocks(batches, dimension, block_rows):
                 if found is None:
                     found, search_block = Best(len(own.id), k, floor.value), search(own)
                 search_block(own, block, found)
