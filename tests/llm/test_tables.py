@@ -127,16 +127,120 @@ def test_templates_and_slots(spark, tables):
         [(7, item), (8, "five short words of text"), (9, None), (10, "12 13 14 15 16 17 18"), (11, "too short"), (7, item)], "item_id long, text string"
     )
     got = {(r.doc_id, r.item_id): r for r in D.op6_template_decontamination(spark, tables(documents=docs, benchmark=benchmark)).collect()}
-    assert set(got) == {(1, 7), (2, 7), (6, 7), (None, 7), (8, 7), (10, 8)}
+    assert set(got) == {(1, 7), (2, 7), (6, 7), (None, 7), (8, 7), (10, 8), (7, 10)}
     assert got[(1, 7)].verbatim and got[(1, 7)].coverage == 1.0 and not got[(2, 7)].verbatim
     kept = D.decontamination_stage(spark, docs, tables(benchmark=benchmark))
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 7, 9]
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 9]
     for d, b in ((docs.limit(0), benchmark), (docs, benchmark.limit(0))):
         assert D.op6_template_decontamination(spark, tables(documents=d, benchmark=b)).count() == 0
     assert D.decontamination_stage(spark, docs, tables(benchmark=benchmark.limit(0))).count() == docs.count()
 
 
+def test_items_of_every_kind_are_found(spark):
+    items = [
+        (1, "Who was Plato?"), (2, "Compute 12 + 7 - 3 * 5 + 9 / 4"), (None, "an item that has no id at all"),
+        (4, "John has 12 apples. Mary gives John 5 apples. John eats 3 of them. How many apples does John have?"),
+        (5, "What is the capital of France"), (6, "A crate holds 12 apples and 15 pears in the cellar of the old house by the lake"),
+        (7, "一个农夫有十二个苹果"), (6, "quite another text under an id that was used before"),
+    ]
+    docs = {
+        1: ("I asked: who was Plato? Nobody knew.", {1}), 2: ("now compute 12 + 7 - 3 * 5 + 9 / 4 please", {2}),
+        3: ("this is an item that has no id at all ok", {None}),
+        4: ("Peter has 30 apples. Susan gives Peter 8 apples. Peter eats 4 of them. How many apples does Peter have?", {4}),
+        5: ("we walked home What is the capital of France and so on", {5}),
+        6: ("A crate holds 20 apples and 20 pears in the cellar of the old house by the lake", {6}),
+        7: ("他说一个农夫有十二个苹果吗", {7}), 8: ("Quite another text under an id that was used before.", {6}),
+        # Every name stands for two: the slots contradict each other.
+        9: ("Peter has 30 apples. Susan gives Anna 8 apples. Maria eats 4 of them. How many apples does Boris have?", set()),
+        10: ("Abc " * 50_000, set()), 11: ("1," * 50_000 + "1", set()), 12: ("Plato was here, as who is not", set()), 13: (None, set()), 14: ("", set()),
+    }
+    frame = spark.createDataFrame([(k, t) for k, (t, _) in docs.items()], "doc_id long, text string")
+    got = {k: set() for k in docs}
+    for r in D.leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect():
+        got[r.doc_id].add(r.item_id)
+    assert got == {k: found for k, (_, found) in docs.items()}
+
+
+def plain_leaks(docs, items, window, covered, agreeing):
+    """All windows of all pairs, by the same token pattern."""
+    import regex
+
+    def readings(text):
+        out = {}
+        for family, names in ((D.TEMPLATE, True), (D.LITERAL, False)):
+            pattern = D.SMALL + (D.NAMES if names else "") + D.PLAIN
+            found = [m.group() for m in regex.finditer(pattern, (text or "") if names else (text or "").lower(), regex.V1)]
+            kinds = []
+            for t in found:
+                if t[0] in " \t%$€£":
+                    kinds.append("unit")
+                elif names and regex.match(D.IS_NAME, t):
+                    kinds.append("name")
+                else:
+                    kinds.append("number" if regex.fullmatch(r"\p{N}[\p{N}.,]*", t) else None)
+            out[family] = [(t.lower().lstrip(" "), k) for t, k in zip(found, kinds)]
+        return out
+
+    results = set()
+    for item_id, text in items:
+        own = readings(text)
+        for doc_id, doc in docs:
+            other, best = readings(doc), 0.0
+            for family, a in own.items():
+                b, n = other[family], min(window, len(a))
+                if not n:
+                    continue
+                shifts = defaultdict(list)
+                for i in range(len(a) - n + 1):
+                    for j in range(len(b) - n + 1):
+                        x, y = a[i : i + n], b[j : j + n]
+                        raw = family == D.LITERAL and [t for t, _ in x] == [t for t, _ in y]
+                        form = sum(k is None for _, k in x) >= D.LEAST_WORDS and [k or t for t, k in x] == [k or t for t, k in y]
+                        if raw or form:
+                            shifts[j - i].append((i, raw, form))
+                at = set()
+                for shift, met in shifts.items():
+                    places = {p for i, _, form in met if form for p in range(i, i + n) if a[p][1]}
+                    by = defaultdict(Counter)
+                    for p in places:
+                        by[a[p][0]][b[p + shift][0]] += 1
+                    sound = sum(max(c.values()) for c in by.values()) >= agreeing * len(places)
+                    names = [c for v, c in by.items() if sum(c.values()) > 1 and any(a[p] == (v, "name") for p in places)]
+                    sound &= sum(max(c.values()) for c in names) >= agreeing * sum(sum(c.values()) for c in names)
+                    at |= {i for i, raw, form in met if raw or form and sound}
+                best = max(best, len(at) / (len(a) - n + 1))
+            if best >= covered:
+                results.add((doc_id, item_id, round(best, 9)))
+    return results
+
+
+def test_leaks_against_all_pairs(spark):
+    rng = random.Random(8)
+    words = ["gives", "apples", "Anna", "Peter", "has", "12", "7", "3.5", " km", "$", "The", "of", "USA", "Ähre", "été", "中文"]
+
+    def say(n):
+        return " ".join(rng.choice(words) for _ in range(n)).replace("  ", " ")
+
+    items = [(k if k % 7 else None, say(rng.choice([1, 2, 4, 6, 9, 14, 20]))) for k in range(40)] + [(99, None), (98, " .")]
+    docs = []
+    for k in range(60):
+        text = rng.choice(items)[1] or ""
+        if k % 3 == 0:
+            text = text.replace("Anna", "Maria Curie").replace("12", rng.choice(["40", "7"])).replace("Peter", rng.choice(["Maria Curie", "Jo", "Paul"]))
+        docs.append((k, f"{say(rng.randint(0, 9))}{rng.choice(['. ', ' ', chr(10)])}{text.upper() if k % 10 == 9 else text} {say(rng.randint(0, 9))}"))
+    for window in (8, 3):
+        found = D.leaks(
+            spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window
+        ).collect()
+        want = plain_leaks(docs, items, window, D.COVERED, D.AGREEING)
+        best = {}
+        for d, i, c in want:
+            best[(d, i)] = max(c, best.get((d, i), 0))
+        assert len(best) > 20
+        assert {(r.doc_id, r.item_id): round(r.coverage, 9) for r in found} == best
+
+
 def test_benchmark_join_gives_the_same_without_a_broadcast(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"the {k} old men of town {k % 3} walked along the river in the morning light again") for k in range(20)], "doc_id long, text string")
     items = spark.createDataFrame([(1, "The 4 old men of town 1 walked along the river in the morning light")], "item_id long, text string")
