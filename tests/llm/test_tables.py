@@ -109,6 +109,63 @@ def test_shards_by_target_bytes_and_one_key(spark):
     assert all(r.b <= 6000 * 1.1 for r in placed)
 
 
+def plain_tree(rows, shards):
+    """The same rule on one sorted list per node. rows: (size, codes, tie)."""
+    wide = [max(1, max(r[1][d] for r in rows) - min(r[1][d] for r in rows)) for d in range(4)]
+    out = {}
+
+    def cut(members, first, n):
+        if n == 1 or not members:
+            out.update((m, first) for m in members)
+            return
+        spans = [(max(rows[m][1][d] for m in members) - min(rows[m][1][d] for m in members)) / wide[d] for d in range(4)]
+        dim = max(range(4), key=lambda d: (spans[d], -d))
+        by = defaultdict(list)
+        for m in members:
+            by[rows[m][1][dim] * 65536 + rows[m][2]].append(m)
+        total, left, before = sum(rows[m][0] for m in members), n // 2, 0
+        goal = max(1, total * left // n)
+        for key in sorted(by):
+            upto = before + sum(rows[m][0] for m in by[key])
+            if upto >= goal:
+                break
+            before = upto
+        limit = key + (goal - before > upto - goal)
+        cut([m for k, own in by.items() if k < limit for m in own], first, left)
+        cut([m for k, own in by.items() if k >= limit for m in own], first + left, n - left)
+
+    cut(list(range(len(rows))), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [7, 24, 200])
+def test_tree_against_a_plain_one(spark, shards):
+    rng = random.Random(shards)
+    rows = [(k, "x" * int(rng.lognormvariate(4, 1)), rng.choice("abc"), rng.choice(["hot"] * 5 + ["x", None])) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = H.kd_shards(H.written(H.metadata_codes(docs, shards=shards), "codes"), shards=shards).collect()
+    want = plain_tree([(r.size, (r.d0, r.d1, r.d2, r.d3), r.tie) for r in got], shards)
+    assert [r.shard for r in got] == [want[k] for k in range(len(got))]
+
+
+def test_equal_texts_stay_together_and_whole_rows_are_kept(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["aa", "b", "cc", "é"], k=rng.randint(5, 60))) for _ in range(400)]
+    rows = [(k, texts[k % 400 if k < 1000 else 0], rng.choice("abc"), rng.choice("xyz"), k % 5, "old") for k in range(1500)]
+    rows += [(2000, "long " * 40_000, "a", "x", 0, None), (2001, None, None, None, None, None), (7, texts[7], "a", "x", 0, "again"), (7, texts[7], "a", "x", 0, "again")]
+    schema = "doc_id long, text string, lang string, source string, size long, slot string"
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "doc_id as dim", "doc_id as doc", "1 as tie")
+    got = H.shard_stage(spark, docs, "").collect()
+    assert set(got[0].asDict()) == {*docs.columns, "shard"}
+    assert Counter((r.doc_id, r.text, r.lang, r.source, r.size, r.dim, r.doc) for r in got) == Counter((*r[:5], r[0], r[0]) for r in rows)
+    shards, total = defaultdict(set), Counter()
+    for r in got:
+        shards[r.text].add(r.shard)
+        total[r.shard] += len((r.text or "").encode()) + 8
+    assert all(len(own) == 1 for text, own in shards.items() if text != texts[0]) and len(shards[texts[0]]) > 3
+    assert H.shard_stage(spark, docs.limit(0), "").count() == 0
+
+
 # --- decontamination ---------------------------------------------------------
 
 
