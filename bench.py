@@ -20,7 +20,9 @@ HEADLINES = (
     "l15_gold_frame",
     "t06_vocabulary",
     "t07_tfidf",
+    "t08_fit",
     "t09_predict",
+    "t13_training_report",
     "r15_r19_relations",
     "p01_extract_event",
     "e05_e13_evaluation_report",

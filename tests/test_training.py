@@ -1,11 +1,12 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidings.functions import text as T
-from tidings.operators import classify, features, sampling
+from tidings.operators import classify, features, newton, sampling
 from tidings.plans import extraction, training
 from tidings.sources.model_store import load_model, save_model
 
@@ -163,6 +164,54 @@ def test_train_save_load_predict(spark, tmp_path):
         save_model(Fixed(), str(tmp_path / "n"))
 
 
+@pytest.mark.parametrize("n_labels", [2, 3, 5])
+def test_the_fit_ends_at_the_optimum(n_labels):
+    rng = np.random.default_rng(n_labels)
+    x = rng.random((200, 900)) * (rng.random((200, 900)) < 0.03)
+    x[7] = 0  # a row without any term
+    label, weight = rng.integers(0, n_labels, 200), rng.choice([0.5, 1, 40], 200)
+    gram = x @ x.T
+    fit = newton.solve(lambda table: gram @ table, label, weight, n_labels)
+    scores = x @ (x.T @ fit.alpha) + fit.intercepts
+    if n_labels == 2:
+        p, hit = 1 / (1 + np.exp(-scores)), (label == 1)[:, None]
+    else:
+        p = np.exp(scores - scores.max(axis=1, keepdims=True))
+        p, hit = p / p.sum(axis=1, keepdims=True), np.eye(n_labels)[label]
+    rest = weight[:, None] * (p - hit)
+    assert np.linalg.norm(x.T @ fit.alpha + x.T @ rest) < 1e-4 and np.abs(rest.sum(axis=0)).max() < 1e-4
+    # Separable classes and one row of a class end too.
+    few = newton.solve(lambda table: gram[:3, :3] @ table, np.arange(3) % n_labels, np.ones(3), n_labels)
+    assert few.gradient <= newton.GRADIENT
+
+
+def test_products_with_the_gram_matrix(spark):
+    rng = np.random.default_rng(1)
+    x = rng.random((30, 60)) * (rng.random((30, 60)) < 0.2)
+    entries = [(100 + i, "word", f"t{j}", float(x[i, j])) for i in range(30) for j in range(60) if x[i, j]]
+    weights = spark.createDataFrame(entries + [(999, "word", "t0", 1.0)], "row long, block string, term string, weight double")
+    rows = spark.createDataFrame([(100 + i, i) for i in range(30)], "row long, place long")
+    postings = newton.term_postings(weights.repartition(5), rows, "row")
+    table = rng.standard_normal((30, 3))
+    np.testing.assert_allclose(newton.gram_product(postings)(table), x @ x.T @ table, atol=1e-12)
+    found = {r.term: r.coefficients for r in newton.coefficients(postings, table).collect()}
+    want = x.T @ table
+    assert len(found) == int((x.any(axis=0)).sum())
+    for term, got in found.items():
+        np.testing.assert_allclose(got, want[int(term[1:])], atol=1e-12)
+
+
+def test_stored_terms_are_the_terms(spark):
+    texts = ["ala ma kota", None, "", "ala ma psa " * 50, "ala ma kota"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, sentence string").withColumn("side", F.col("id") % 2)
+    stored = features.stored_terms(df, keep=["side"])
+    assert sorted(map(tuple, stored.drop("side").collect())) == sorted(map(tuple, features.term_table(df).collect()))
+    assert all(r.side == r.id % 2 for r in stored.collect())
+    # A group by key needs no shuffle over the buckets.
+    assert "Exchange" not in stored.groupBy("id", "block").count()._jdf.queryExecution().executedPlan().toString()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("terms")]
+
+
 def test_a_bounded_fit_keeps_the_whole_vocabulary_and_every_label(spark):
     rows = [("A", f"kot numer {k} {w}") for k in range(12) for w in ("rano", "wieczorem")] + [("B", f"pies {k} noc") for k in range(8)]
     rows += [("C", f"premier {k} dom") for k in range(3)]

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.catalog import features as features_catalog, inputs
-from tidings.catalog.features import TFIDF_CTE
+from tidings.catalog.features import TFIDF_CTE, VOCAB_CTE
 from tidings.catalog.registry import query
 from tidings.catalog.relations import RELATIONS_CTE
 from tidings.operators import classify, features, metrics, records, sampling
 from tidings.operators.relations import with_relations
 from tidings.plans import training
-from tidings.session import fresh_path
+from tidings.session import fresh_path, written
 from tidings.sources.model_store import load_model, save_model
 
 SEED = 42
@@ -177,6 +177,36 @@ def t13_report(spark, sf):
     return report.select("kind", "label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
+@query("t08_fit", f"""with {VOCAB_CTE} select block, term, 0.0::double as gradient from vocab
+union all select 'intercepts', '', 0.0::double""")
+def t08(spark, sf):
+    """The penalised loss's gradient at every coefficient of a fit on all documents, worked out without the solver: zero at the optimum."""
+    df = _labelled(spark, sf)
+    terms = features.stored_terms(df, key="doc_id", text="sentence", stop_words=features_catalog.STOP_WORDS)
+    known = features.store_vocabulary(features.fit_vocabulary(terms, df.count()))
+    size = features.table_bytes(known)
+    indexer = classify.label_indexer(df)
+    targets = classify.balanced_weight(indexer.transform(df), copies=None).select("doc_id", "label_index", "weight")
+    rows = written(sampling.with_row_index(targets, ["doc_id"], "place"), "fit-targets")
+    weights = features.tfidf(terms, known, key="doc_id", vocabulary_bytes=size)
+    fitted, intercepts = classify.fit_classifier(weights, rows, len(indexer.labels), key="doc_id")
+    fitted = written(known.join(fitted, ["block", "term"]), "model")
+
+    n = len(intercepts)
+    weights = features.tfidf(terms, fitted, key="doc_id", vocabulary_bytes=features.table_bytes(fitted))
+    alone = F.array(*[F.lit(x) for x in intercepts])
+    scored = rows.join(classify.linear_scores(weights, intercepts, "doc_id"), "doc_id", "left")
+    p = classify.pseudo_probabilities(F.coalesce("scores", alone))
+    rest = F.transform(p, lambda x, k: F.col("weight") * (x - F.when(F.col("label_index") == k, 1.0).otherwise(0.0)))
+    rests = written(scored.select("doc_id", rest.alias("rest")), "rests")
+    pulled = [F.sum(F.col("x") * F.get("rest", F.lit(k))).alias(f"g{k}") for k in range(n)]
+    slopes = weights.withColumnRenamed("weight", "x").join(rests, "doc_id").groupBy("block", "term").agg(*pulled).join(fitted, ["block", "term"])
+    steepest = lambda parts: F.round(F.greatest(*[F.abs(x) for x in parts]), 3)
+    whole = slopes.select("block", "term", steepest([F.col(f"g{k}") + F.get("coefficients", F.lit(k)) for k in range(n)]).alias("gradient"))
+    free = rests.agg(steepest([F.sum(F.get("rest", F.lit(k))) for k in range(n)]).alias("gradient"))
+    return whole.union(free.select(F.lit("intercepts"), F.lit(""), "gradient"))
+
+
 # A model made by arithmetic: every coefficient is a rule of the term's length and block.
 _COEFFICIENTS = "((length(term)*{0}+case when block='word' then 3 else 1 end)%7-3)/10.0"
 _SUMS = ", ".join(f"sum(weight*({_COEFFICIENTS.format(k)})) as s{k}" for k in (2, 3, 5))
