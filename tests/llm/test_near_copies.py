@@ -253,6 +253,23 @@ def test_every_edited_copy_finds_its_partner_among_hubs(spark, monkeypatch, buck
     assert all(r.similarity >= 0.8 and r.a < r.b for r in links.collect())
 
 
+def test_passages_do_not_depend_on_the_way_a_group_takes(spark, monkeypatch):
+    rng = random.Random(17)
+    phrase, base, texts = words(rng, 12), words(rng, 110), {}
+    for k in range(40):
+        text = [*words(rng, 40), *phrase, *words(rng, 40)] if k % 4 == 0 else base.copy()
+        for _ in range(k % 3):
+            text[rng.randrange(len(text))] = "edited"
+        texts[k] = " ".join([*text, *(["again and again"] * 60 if k % 9 == 0 else [])])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    results = []
+    for bucket, block in ((10**6, 2048), (8, 2048), (1, 5)):
+        monkeypatch.setattr(P, "BUCKET", bucket)
+        monkeypatch.setattr(P, "BLOCK", block)
+        results.append(sorted(map(tuple, P.repeated_passages(docs)[1].collect())))
+    assert results[0] and results[0] == results[1] == results[2]
+
+
 def test_similarities_of_all_starts_against_sets():
     rng = np.random.default_rng(9)
     for alphabet in (6, 30, 10**6):

@@ -10,14 +10,17 @@ nodes without building the tree.)
 
 Windows of different documents with the same minimum meet. Windows of equal
 content are one class, whose members are linked to its least document; only
-classes are compared. Within a group of equal minima each class is compared
-with each other one, and every start that both windows have is verified by the
-exact similarity of the two passages' shingle sets: of equal shingles at
-positions x and y the starts that see both form an interval, so a running sum
-gives the intersections of all starts at once. A group of up to `BUCKET`
-classes gives all its links. A larger one is cut into blocks that are compared
-in pairs; it gives a spanning forest of its links and, for each start that has
-a partner, a link that covers it: about k rows for k classes, not k * k.
+classes are compared. Within a group of equal minima a class goes on only
+while nearly all shingles of one of its passages are also in other classes,
+and classes that differ in nothing but what no other class has are compared as
+one. Every start that two windows have is then verified by the exact
+similarity of the two passages' shingle sets: the starts that see an equal
+shingle on both sides form an interval, so a running sum gives the
+intersections of all starts at once. A group of up to `BUCKET` classes gives
+all its links; a larger one is cut into blocks that are compared in pairs and
+gives a spanning forest of its links and, for each start that has a partner, a
+link that covers it. What the passages show, the starts and the least document
+that links lead to, does not depend on which way a group took.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidings.llm import components
 from tidings.llm.common import read
 from tidings.session import written
 
@@ -39,7 +43,7 @@ WORDS = 50
 HASHES = 4
 SIMILARITY = 0.8
 # Classes of a group up to which all its links are listed; classes per block of a larger group.
-BUCKET = 64
+BUCKET = 8
 BLOCK = 2048
 # Classes per task of small groups, pairs compared at a time.
 ROWS = 1 << 13
@@ -84,27 +88,55 @@ def window_minima(values: np.ndarray, length: int) -> np.ndarray:
     return (np.minimum(back[:n], ahead[length - 1 : length - 1 + n]) & low).astype(np.int64)
 
 
-def compact_windows(shingles: np.ndarray, length: int, function: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compact_windows(
+    shingles: np.ndarray, length: int, function: int, piece: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(shingle at the minimum, its position, first start, last start) per window, for one hash function.
 
+    `piece` numbers the text that each shingle is from, when texts are joined; no passage spans two.
     Equal minima, as repeated words make them, are windows of their own: all starts of a window see its minimum.
     """
     found = []
     step = (1 << POSITION_BITS) - length
-    for at in range(0, max(len(shingles) - length + 1, 0), step):
-        part = shingles[at : at + step + length - 1]
+    for begin in range(0, max(len(shingles) - length + 1, 0), step):
+        part = shingles[begin : begin + step + length - 1]
         if len(part) < length:
             break
-        least = window_minima(_mixed(part, SEEDS[function]), length)
-        key = part[least]
-        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        last = np.append(first[1:], len(least)) - 1
-        found.append((key[first], least[first] + at, first + at, last + at))
+        least = window_minima(_mixed(part, SEEDS[function]), length) + begin
+        start = np.arange(begin, begin + len(least))
+        if piece is not None:
+            whole = np.flatnonzero(piece[start] == piece[start + length - 1])
+            least, start = least[whole], start[whole]
+        if not len(start):
+            continue
+        opens = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (start[1:] != start[:-1] + 1)]))
+        found.append((shingles[least[opens]], least[opens], start[opens], start[np.append(opens[1:], len(start)) - 1]))
     if not found:
         return (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _joined(texts: Iterator[tuple[int, str | None]], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(shingles, piece, row of each piece): texts joined up to what a packed position can number; a longer one stands alone."""
+    parts, rows, size = [], [], 0
+
+    def joined():
+        return np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array(rows)
+
+    for row, text in texts:
+        shingles = shingle_hashes(text)
+        if len(shingles) < length:
+            continue
+        if parts and size + len(shingles) > 1 << POSITION_BITS:
+            yield joined()
+            parts, rows, size = [], [], 0
+        parts.append(shingles)
+        rows.append(row)
+        size += len(shingles)
+    if parts:
+        yield joined()
+
+
 def slice_hashes(shingles: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of shingles[first:end] for each pair of bounds, wherever the slice stands."""
     n = len(shingles)
@@ -114,38 +146,31 @@ def slice_hashes(shingles: np.ndarray, first: np.ndarray, end: np.ndarray) -> np
     return ((sums[end] - sums[first]) * back[first]).view(np.int64)
 
 
-WINDOW_TYPES = (np.int64, np.int64, np.int8, np.int32, np.int32, np.int32, np.int64)
-
-
 def _windows(length: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            columns, size = [[] for _ in WINDOW_TYPES], 0
-            for row, text in enumerate(batch["text"]):
-                shingles = shingle_hashes(text.as_py())
-                for function in range(HASHES if len(shingles) >= length else 0):
-                    key, at, first, last = compact_windows(shingles, length, function)
+            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
+            for shingles, piece, rows in _joined(texts, length):
+                starts = np.searchsorted(piece, np.arange(len(rows)))
+                for function in range(HASHES):
+                    key, at, first, last = compact_windows(shingles, length, function, piece)
                     content = slice_hashes(shingles, first, last + length)
-                    values = (_mixed(key, function + 1).astype(np.int64), np.full(len(key), row), np.full(len(key), function), at, first - at, last - at, content)
-                    for column, value in zip(columns, values):
-                        column.append(value)
-                    size += len(key)
-                if size >= 1 << 18:
-                    yield _windows_batch(columns, ids)
-                    columns, size = [[] for _ in WINDOW_TYPES], 0
-            if size:
-                yield _windows_batch(columns, ids)
+                    mine = piece[first]
+                    columns = {
+                        "key": pa.array(_mixed(key, function + 1).view(np.int64)),
+                        "doc_id": ids.take(pa.array(rows[mine])),
+                        "function": pa.array(np.full(len(at), function, np.int8)),
+                        "at": pa.array((at - starts[mine]).astype(np.int32)),
+                        "before": pa.array((first - at).astype(np.int32)),
+                        "after": pa.array((last - at).astype(np.int32)),
+                        "content": pa.array(content),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns)
 
     return windows
 
 
-def _windows_batch(columns: list[list[np.ndarray]], ids: pa.Array) -> pa.RecordBatch:
-    key, row, *rest = [np.concatenate(c).astype(t) for c, t in zip(columns, WINDOW_TYPES)]
-    names = ("function", "at", "before", "after", "content")
-    return pa.RecordBatch.from_pydict({"key": pa.array(key), "doc_id": ids.take(pa.array(row)), **{n: pa.array(x) for n, x in zip(names, rest)}})
-
-
 CLASS = ("key", "function", "before", "after", "content")
 CARRIED = (*CLASS, "n", "lo_at", "hi_doc", "hi_at")
 
@@ -190,8 +215,71 @@ class Slices:
         ordered = np.take_along_axis(self.v, order, 1)
         earlier = np.zeros((n, width), np.int64)
         np.put_along_axis(earlier, order[:, 1:], np.where(ordered[:, 1:] == ordered[:, :-1], order[:, :-1] + 1, 0), 1)
-        self.since = np.maximum(earlier, np.arange(width) - length + 1)
-        self.distinct = self._sums(n, row, self.since[row, at], at)
+        self.earlier = earlier
+        since = np.maximum(earlier, np.arange(width) - length + 1)
+        # Runs: the starts whose passage has a value, from `lo` to `hi`; a value that comes again soon enough is in one run.
+        flat, value = order.ravel(), ordered.ravel()
+        owner = np.repeat(np.arange(n), width)
+        real = value >= 0
+        flat, value, owner = flat[real], value[real], owner[real]
+        fresh = np.ones(len(flat), bool)
+        fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1]) | (flat[1:] - flat[:-1] > length)
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(flat)) - 1 if len(first) else first
+        self.run_row, self.run_value = owner[first], value[first]
+        self.run_lo, self.run_hi = since[owner[first], flat[first]], flat[last]
+        place = np.arange(len(first)) - np.searchsorted(self.run_row, self.run_row)
+        self.values, self.los, self.his = (np.full((n, place.max(initial=0) + 1), x, np.int32) for x in (-1, 0, 0))
+        for table, column in ((self.values, self.run_value), (self.los, self.run_lo), (self.his, self.run_hi)):
+            table[self.run_row, place] = column
+        self.distinct = self._sums(n, self.run_row, self.run_lo, self.run_hi)
+        start = np.arange(length)
+        # Starts that may have a partner; `hopeful` narrows them.
+        self.hope = (start >= self.lo[:, None]) & (start <= self.hi[:, None])
+
+    def hopeful(self, group: np.ndarray) -> np.ndarray:
+        """The starts (rows x length) at which a row may be near another row of its group.
+
+        At some start nearly all of a row's shingles must also be in other
+        rows; when a row goes, others may lose what they shared with it.
+        """
+        n, row = len(self.v), self.run_row
+        code = group[row].astype(np.int64) << 31 | self.run_value
+        _, number = np.unique(code, return_inverse=True)
+        once = np.ones(len(row), bool)
+        once[1:] = (row[1:] != row[:-1]) | (self.run_value[1:] != self.run_value[:-1])
+        alive, left = np.ones(n, bool), -1
+        while left != (left := np.count_nonzero(alive)):
+            mine = alive[row]
+            rows_with = np.bincount(number[once & mine], minlength=number.max(initial=-1) + 1)
+            shared = mine & (rows_with[number] > 1)
+            most = self._sums(n, row[shared], self.run_lo[shared], self.run_hi[shared])
+            hope = self.hope & (most >= self.similarity * self.distinct - 1e-6) & alive[:, None]
+            alive = hope.any(axis=1)
+        return hope
+
+    def patterns(self, group: np.ndarray) -> np.ndarray:
+        """A number per row: rows of one group with the same number have the same similarity to any third row, start by start.
+
+        A shingle that only one row of the group has can't be shared; of it
+        counts only where it stands, and where the row had it before. Such rows
+        differ in what no other row has.
+        """
+        n, width = self.v.shape
+        row, at = np.nonzero(self.v >= 0)
+        value = self.v[row, at].astype(np.int64)
+        seen = self.earlier[row, at]
+        once = seen == 0
+        code = group[row].astype(np.int64) << 31 | value
+        _, number = np.unique(code, return_inverse=True)
+        rows_with = np.bincount(number[once], minlength=number.max(initial=-1) + 1)
+        shared = rows_with[number] > 1
+        content = np.where(shared, value, -2 - np.where(once, 0, at + 1 - seen))
+        mixed = _mixed(content.view(np.uint64) * PRIME + at.astype(np.uint64), SEEDS[1])
+        sums = np.zeros(n, np.uint64)
+        np.add.at(sums, row, mixed)
+        ends = (group.astype(np.uint64) * PRIME + self.lo.astype(np.uint64)) * PRIME + self.hi.astype(np.uint64)
+        return _mixed(sums + _mixed(ends, SEEDS[2]), SEEDS[3])
 
     def _sums(self, n: int, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """For each of n rows and each start, the number of intervals [lo, hi] that hold it."""
@@ -201,100 +289,157 @@ class Slices:
         steps = np.bincount(row * step + lo, minlength=n * step) - np.bincount(row * step + hi + 1, minlength=n * step)
         return np.cumsum(steps.reshape(n, step), axis=1)[:, : self.length]
 
-    def possible(self, hits: np.ndarray, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
-        """Starts at which positions of j that have a value of i (`hits`) do not rule the similarity out."""
-        sums = np.zeros((len(hits), hits.shape[1] + 1), np.int16)
-        np.cumsum(hits, axis=1, dtype=np.int16, out=sums[:, 1:])
-        bound = sums[:, self.length :] - sums[:, : -self.length]
-        least = self.similarity / (1 + self.similarity) * (self.distinct[i] + self.distinct[j]) - 1e-6
-        start = np.arange(self.length)
-        lo, hi = np.maximum(self.lo[i], self.lo[j])[:, None], np.minimum(self.hi[i], self.hi[j])[:, None]
-        return (bound >= least) & (start >= lo) & (start <= hi)
-
     def similarities(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs' numbers that have a start of at least the similarity, and each one's similarity by start, else 0."""
+        hope = self.hope[i] & self.hope[j]
+        tried = np.flatnonzero(hope.any(axis=1))
         found, out = [], []
-        for at in range(0, len(i), PAIRS):
-            x, y = i[at : at + PAIRS], j[at : at + PAIRS]
-            a, b = self.v[x], self.v[y]
-            same = (a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]
-            possible = self.possible(same.any(axis=1), x, y)
-            some = np.flatnonzero(possible.any(axis=1))
-            pair, p, q = np.nonzero(same[some])
-            x, y = x[some], y[some]
-            lo = np.maximum(self.since[x[pair], p], self.since[y[pair], q])
-            shared = self._sums(len(some), pair, lo, np.minimum(p, q))
-            ratio = shared / np.maximum(self.distinct[x] + self.distinct[y] - shared, 1)
-            ratio[~possible[some] | (ratio < self.similarity)] = 0
+        for at in range(0, len(tried), PAIRS):
+            some = tried[at : at + PAIRS]
+            x, y = i[some], j[some]
+            a, b = self.values[x], self.values[y]
+            pair, p, q = np.nonzero((a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None])
+            shared = self._sums(len(some), pair, np.maximum(self.los[x[pair], p], self.los[y[pair], q]), np.minimum(self.his[x[pair], p], self.his[y[pair], q]))
+            ratio = self.ratio(shared, x, y, hope[some])
             good = np.flatnonzero(ratio.any(axis=1))
-            found.append(some[good] + at)
+            found.append(some[good])
             out.append(ratio[good])
         return (np.concatenate(found), np.concatenate(out)) if found else (np.zeros(0, np.int64), np.zeros((0, self.length)))
 
+    def ratio(self, shared: np.ndarray, x: np.ndarray | int, y: np.ndarray, hope: np.ndarray) -> np.ndarray:
+        out = shared / np.maximum(self.distinct[x] + self.distinct[y] - shared, 1)
+        out[~hope | (out < self.similarity)] = 0
+        return out
+
 
 def _forest(slices: Slices, rows: np.ndarray, side: np.ndarray, cross: bool, apart) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of a pair of blocks: links that form a spanning forest of its links and cover every start that has one."""
-    _, ids = np.unique(slices.v[rows], return_inverse=True)
+    """Of a pair of blocks: links that form a spanning forest of its links and cover every start that has one.
+
+    Rows with the most hope come first: what they cover need not be looked at
+    again, so a group of copies with an edit each takes few comparisons a row.
+    """
+    order = np.argsort(-slices.hope[rows].sum(axis=1), kind="stable")
+    rows, side = rows[order], side[order]
+    hope, values, los, his = slices.hope[rows], slices.values[rows], slices.los[rows], slices.his[rows]
+    _, ids = np.unique(values, return_inverse=True)
     ids = ids.reshape(len(rows), -1)
-    padding = slices.v[rows] < 0
-    mark = np.zeros(ids.max() + 1, bool)
-    covered, root = np.zeros((len(rows), slices.length), bool), np.arange(len(rows))
+    place = np.full(ids.max() + 1, -1)
+    open_, root = hope.copy(), np.arange(len(rows))
     for k in range(len(rows) - 1):
         other = np.arange(k + 1, len(rows))
         if cross:
             other = other[side[other] != side[k]]
+        both = hope[other] & hope[k]
+        other = other[np.where(root[other] != root[k], both.any(axis=1), (both & (open_[other] | open_[k])).any(axis=1))]
         other = other[apart(rows[k], rows[other])]
         if not len(other):
             continue
-        mark[ids[k][~padding[k]]] = True
-        possible = slices.possible(mark[ids[other]], np.full(len(other), rows[k]), rows[other])
-        mark[ids[k]] = False
-        wanted = (root[other] != root[k])[:, None] | ~(covered[other] & covered[k])
-        other = other[(possible & wanted).any(axis=1)]
-        found, ratio = slices.similarities(np.full(len(other), rows[k]), rows[other])
+        shared = 0
+        for own in _occurrences(ids[k], np.flatnonzero(values[k] >= 0)):
+            place[ids[k][own]] = own
+            p = place[ids[other]]
+            place[ids[k][own]] = -1
+            pair, q = np.nonzero(p >= 0)
+            p, o = p[pair, q], other[pair]
+            shared = shared + slices._sums(len(other), pair, np.maximum(los[k][p], los[o, q]), np.minimum(his[k][p], his[o, q]))
+        ratio = slices.ratio(shared, rows[k], rows[other], hope[other] & hope[k])
         kept = []
-        for number, (o, starts) in enumerate(zip(other[found], ratio > 0)):
+        for number in np.flatnonzero(ratio.any(axis=1)):
+            o, starts = other[number], ratio[number] > 0
             if root[o] != root[k]:
                 root[root == root[o]] = root[k]
-            elif not (starts & ~(covered[o] & covered[k])).any():
+            elif not (starts & (open_[o] | open_[k])).any():
                 continue
-            covered[o] |= starts
-            covered[k] |= starts
+            open_[o] &= ~starts
+            open_[k] &= ~starts
             kept.append(number)
-        yield np.full(len(kept), rows[k]), rows[other[found][kept]], ratio[kept]
-
-
-def _compare(length: int, similarity: float):
+        yield np.full(len(kept), rows[k]), rows[other[kept]], ratio[kept]
+
+
+def _occurrences(values: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """The places of first occurrences, of second ones, and so on."""
+    while len(places):
+        _, first = np.unique(values[places], return_index=True)
+        yield places[first]
+        places = np.delete(places, first)
+
+
+def _spread_links(here, there, ratio, inner, stands, members, apart) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links of the other rows of `here`'s patterns to `there`, at starts that those rows do not share with their own leader."""
+    open_ = np.where(inner[here], 0, ratio)
+    some = np.flatnonzero(open_.any(axis=1))
+    if not len(some) or not len(members):
+        return
+    order = np.argsort(stands[members], kind="stable")
+    leader = stands[members][order]
+    first, last = np.searchsorted(leader, here[some]), np.searchsorted(leader, here[some], side="right")
+    pair = np.repeat(some, last - first)
+    place = np.arange(len(pair)) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)
+    row = members[order[place]]
+    kept = apart(row, there[pair])
+    yield row[kept], there[pair][kept], open_[pair][kept]
+
+
+def _compare(length: int, similarity: float, bucket: int = BUCKET):
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([(c, "ascending") for c in ("key", "function", "i", "j")])
-        column = {c: table[c].to_numpy() for c in ("key", "function", "i", "j", "n", "before", "after", "lo_at", "hi_at", "first_side")}
-        lists = table["shingles"].combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        slices = Slices(lists.flatten().to_numpy(), sizes, column["before"], column["after"], length, similarity)
+        names = ("key", "function", "i", "j", "before", "after", "lo_at", "hi_at", "first_side")
+        for last in (False, True):
+            column = {c: table[c].to_numpy() for c in names}
+            lists = table["shingles"].combine_chunks()
+            sizes = np.diff(lists.offsets.to_numpy())
+            slices = Slices(lists.flatten().to_numpy(), sizes, column["before"], column["after"], length, similarity)
+            new = np.ones(len(sizes), bool)
+            new[1:] = np.any([column[c][1:] != column[c][:-1] for c in ("key", "function", "i", "j")], axis=0)
+            group = np.cumsum(new)
+            if last:
+                slices.hope = hope
+            else:
+                hope = slices.hopeful(group)
+                kept = np.flatnonzero(hope.any(axis=1))
+                table, hope = table.take(pa.array(kept)).combine_chunks(), hope[kept]
         docs = pa.concat_arrays([table[c].combine_chunks() for c in ("lo_doc", "hi_doc")])
         lo, hi = np.split(docs.dictionary_encode().indices.to_numpy(), 2)
         # A class stands for its least and its greatest document: two classes are compared if these are not one document.
         apart = lambda x, y: (lo[x] != lo[y]) | (hi[x] != lo[y]) | (lo[x] != hi[y])
-        new = np.ones(len(lo), bool)
-        new[1:] = np.any([column[c][1:] != column[c][:-1] for c in ("key", "function", "i", "j")], axis=0)
-        group = np.cumsum(new)
-        large = column["n"] > BUCKET
-        pieces = []
-        small, step = np.flatnonzero(~large), 1
+        # Rows of one pattern are compared with the one of the least document only, which stands for them all.
+        pattern = slices.patterns(group)
+        rank = np.lexsort((np.arange(len(lo)), lo, pattern))
+        pattern = pattern[rank]
+        opens = np.concatenate([[True], pattern[1:] != pattern[:-1]])[: len(rank)]
+        stands = np.empty(len(rank), np.int64)
+        stands[rank] = rank[np.flatnonzero(opens)][np.cumsum(opens) - 1] if len(rank) else 0
+        members = np.flatnonzero(stands != np.arange(len(rank)))
+        leaders = np.flatnonzero(stands == np.arange(len(rank)))
+        together = apart(stands[members], members)
+        found, ratio = slices.similarities(stands[members[together]], members[together])
+        own = members[together][found]
+        pieces = [(stands[own], own, ratio)]
+        # The starts at which a pattern's rows are near each other.
+        inner = np.zeros((len(rank), length), bool)
+        np.logical_or.at(inner, stands[own], ratio > 0)
+        size = np.bincount(group[leaders], minlength=group.max(initial=-1) + 1)
+        large = size[group] > bucket
+        between = []
+        small, step = leaders[~large[leaders]], 1
         while step < len(small):
             x, y = small[:-step], small[step:]
             near = group[x] == group[y]
             if not near.any():
                 break
-            near &= apart(x, y)
             x, y = x[near], y[near]
             found, ratio = slices.similarities(x, y)
-            pieces.append((x[found], y[found], ratio))
+            between.append((x[found], y[found], ratio))
             step += 1
-        for g in np.unique(group[large]):
-            rows = np.flatnonzero(group == g)
+        for g in np.flatnonzero(size > bucket):
+            rows = leaders[group[leaders] == g]
             cross = column["i"][rows[0]] != column["j"][rows[0]]
-            pieces += _forest(slices, rows, column["first_side"][rows], cross, apart)
+            between += _forest(slices, rows, column["first_side"][rows], cross, lambda x, y: np.ones(len(y), bool))
+        pieces += [(x[k], y[k], ratio[k]) for x, y, ratio in between for k in [apart(x, y)]]
+        # Where two patterns are near but the rows of one are not near each other, each of its rows is linked to the other's leader.
+        for x, y, ratio in between:
+            for here, there in ((x, y), (y, x)):
+                pieces += list(_spread_links(here, there, ratio, inner, stands, members, apart))
         x, y, ratio = map(np.concatenate, zip(*pieces)) if pieces else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, length)))
         # Runs of verified starts.
         edge = np.diff(np.pad((ratio > 0).astype(np.int8), ((0, 0), (1, 1))), axis=1)
@@ -351,7 +496,7 @@ def _verified(known: DataFrame, windows: DataFrame, length: int, similarity: flo
     ).drop("m", "blocks", "own")
     task = F.when(F.col("n") > BUCKET, F.xxhash64("key", "function", "i", "j")).otherwise(F.pmod(F.xxhash64("key", "function"), F.lit(tasks)))
     result = f"function byte, x {kind}, x_at int, y {kind}, y_at int, lo int, hi int, similarity double"
-    near = written(dealt.withColumn("task", task).groupBy("task").applyInArrow(_compare(length, similarity), result), "near")
+    near = written(dealt.withColumn("task", task).groupBy("task").applyInArrow(_compare(length, similarity, BUCKET), result), "near")
     # A class of one document may stand at several places of it.
     again = classes.where("lowest.doc_id = highest.doc_id and lowest.at <> highest.at").select(*CLASS, F.col("lowest.at").alias("least_at"))
     again = written(windows.join(again, list(CLASS)).where("at <> least_at").select("doc_id", "function", "least_at", "at"), "repeats")
@@ -373,16 +518,16 @@ def repeated_passages(docs: DataFrame, *, words: int = WORDS, similarity: float
     """(links, passages) of near-duplicate passages of at least `words` words in different documents.
 
     links: a, b, a_start, b_start, n_words, similarity (the least one of its starts).
-    passages: doc_id, start_word, n_words, n_links (listed at one start, at
-    most), least_doc_id (the least id among the passage's document and its
-    listed partners) per passage of a document: verified starts that overlap. Starts count words from 0.
+    passages: doc_id, start_word, n_words, least_doc_id (the least id that
+    links lead to from the passage's document, itself included) per passage of
+    a document: verified starts that overlap. Starts count words from 0.
 
     A null text has no passages, nor has one of fewer than `words` words. Rows
     of one id are one document; rows without id link to nothing. All starts
     that two windows of equal minimum share are verified. Copies are linked to
     their least document, and a group of more than `BUCKET` classes gives a
-    forest: classes and starts with a partner are whole, but not every pair of
-    partners is listed. Empty table: empty results.
+    forest: classes and starts with a partner are whole, but links do not list
+    every pair of partners. Empty table: empty results.
     """
     length = words - SHINGLE + 1
     known = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
@@ -411,26 +556,20 @@ def repeated_passages(docs: DataFrame, *, words: int = WORDS, similarity: float
         F.min("lo").alias("a_start"), (F.min("lo") + F.first("shift")).alias("b_start"), (F.max("hi") - F.min("lo") + words).alias("n_words"), F.min("similarity").alias("similarity")
     ).drop("shift", "run")
 
-    spans = runs.select(F.col("a").alias("doc_id"), "lo", "hi", F.col("a").alias("least"))
-    spans = spans.union(runs.select("b", F.col("lo") + F.col("shift"), F.col("hi") + F.col("shift"), "a"))
-    # Ends at one place are summed first, so that a document which many others share has few rows.
-    step = F.explode(F.array(
-        F.struct(F.col("lo").alias("lo"), F.lit(1).alias("step"), F.col("hi").alias("hi")),
-        F.struct((F.col("hi") + 1).alias("lo"), F.lit(-1).alias("step"), F.col("hi").alias("hi")),
-    ))
-    events = spans.select("doc_id", "least", step.alias("e")).groupBy("doc_id", F.col("e.lo").alias("lo")).agg(
-        F.sum("e.step").alias("step"), F.max("e.hi").alias("hi"), F.min("least").alias("least")
-    )
+    spans = runs.select(F.col("a").alias("doc_id"), "lo", "hi")
+    spans = spans.union(runs.select("b", F.col("lo") + F.col("shift"), F.col("hi") + F.col("shift")))
+    # Equal ends at one place are one, so that a document which many others share has few rows.
+    spans = spans.groupBy("doc_id", "lo").agg(F.max("hi").alias("hi"))
     by_start = Window.partitionBy("doc_id").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, 0)
     passages = (
-        events.withColumn("opens", _opened(["doc_id"], words))
-        .withColumns({"passage": F.sum("opens").over(by_start), "n": F.sum("step").over(by_start)})
+        spans.withColumn("opens", _opened(["doc_id"], words))
+        .withColumn("passage", F.sum("opens").over(by_start))
         .groupBy("doc_id", "passage")
-        .agg(
-            F.min("lo").alias("start_word"), (F.max("hi") - F.min("lo") + words).cast("int").alias("n_words"), F.max("n").alias("n_links"), F.min("least").alias("least_doc_id"),
-        )
+        .agg(F.min("lo").alias("start_word"), (F.max("hi") - F.min("lo") + words).cast("int").alias("n_words"))
         .drop("passage")
-    )
+    )
+    least = components.stars(runs.select("a", "b")).select(F.col("a").alias("doc_id"), F.col("b").alias("least_doc_id"))
+    passages = passages.join(least, "doc_id", "left").withColumn("least_doc_id", F.coalesce("least_doc_id", "doc_id"))
     return links, passages
 
 
