@@ -18,8 +18,11 @@ def empty(c: str) -> str:
     return f"(coalesce({duck_strip(c)},'')='')"
 
 
-def _hit(pred: str, gold: str) -> str:
-    words = "list_distinct(regexp_extract_all(lower({}),'[\\p{{L}}\\p{{N}}_]+'))".format
+SURFACE = "list_distinct(regexp_extract_all(lower({}),'[\\p{{L}}\\p{{N}}_]+'))"
+
+
+def _hit(pred: str, gold: str, words: str) -> str:
+    words = words.format
     inter = f"len(list_intersect({words(pred)},{words(gold)}))"
     size = f"len({words(gold)})"
     return (
@@ -33,10 +36,10 @@ def _ok(f: str, lenient: bool) -> str:
     return f"""case when {empty(f'"gold_{f}"')} then {gold_rule} when {empty(f'"{f}"')} then false else "hit_{f}" end"""
 
 
-def matched_cte(strict: bool, source: str = "phrases", name: str = "matched") -> str:
+def matched_cte(strict: bool, source: str = "phrases", name: str = "matched", words: str = SURFACE) -> str:
     """Hits, then field correctness, for the rows of `source`."""
     hits = ", ".join(
-        '{} as "hit_{}"'.format(_hit(f'"{f}"', f'"gold_{f}"'), f) for f in FIELDS
+        '{} as "hit_{}"'.format(_hit(f'"{f}"', f'"gold_{f}"', words), f) for f in FIELDS
     )
     oks = ", ".join(
         f'{_ok(f, f == "when" and not strict)} as "ok_{f}", {_ok(f, False)} as "strict_{f}", '

@@ -42,6 +42,45 @@ def surface_lemmas(phrase: Column) -> Column:
     return F.array_distinct(words)
 
 
+def _phrase_columns(fields: Iterable[str]) -> list[str]:
+    return [name for f in fields for name in (f, f"gold_{f}")]
+
+
+def distinct_phrases(df: DataFrame, fields: Iterable[str] = FIELDS) -> DataFrame:
+    """`phrase`: every different non-empty phrase of predictions and gold, to be annotated once each."""
+    phrases = df.select(F.explode(F.array(*[F.col(c) for c in _phrase_columns(fields)])).alias("phrase"))
+    return phrases.where(~is_empty(F.col("phrase"))).distinct()
+
+
+def lemma_dictionary(annotated: DataFrame) -> DataFrame:
+    """`phrase, lemmas` from `phrase, tokens`: the sorted lemma set of each phrase."""
+    return annotated.select("phrase", F.sort_array(lemma_set(F.col("tokens"))).alias("lemmas"))
+
+
+def with_phrase_lemmas(df: DataFrame, dictionary: DataFrame, fields: Iterable[str] = FIELDS) -> DataFrame:
+    """Add `_lemmas_<column>` to every phrase column, from a dictionary with one row per phrase.
+
+    The phrase columns are unpivoted and joined by phrase in one join, whatever
+    the number of columns, and come back by a hash of the row; rows that are
+    equal share the result. A phrase that the dictionary lacks has no lemmas.
+    """
+    names = _phrase_columns(fields)
+    keyed = df.withColumn("_row", F.md5(F.to_json(F.struct(*df.columns))))
+    entries = F.array(*[F.struct(F.lit(k).alias("place"), F.col(c).alias("phrase")) for k, c in enumerate(names)])
+    long = keyed.select("_row", F.inline(entries)).where("phrase IS NOT NULL").distinct()
+    sets = long.join(dictionary, "phrase").groupBy("_row").agg(
+        *[F.max(F.when(F.col("place") == k, F.col("lemmas"))).alias(f"_lemmas_{c}") for k, c in enumerate(names)]
+    )
+    nothing = F.array().cast("array<string>")
+    joined = keyed.join(sets, "_row", "left").drop("_row")
+    return joined.withColumns({f"_lemmas_{c}": F.coalesce(f"_lemmas_{c}", nothing) for c in names})
+
+
+def phrase_lemmas(name: str) -> Column:
+    """For `with_matches`, behind `with_phrase_lemmas`."""
+    return F.col(f"_lemmas_{name}")
+
+
 def match_by_lemmas(pred: Column, gold: Column, pred_lemmas: Column, gold_lemmas: Column) -> Column:
     """Enough of the gold lemmas occur in the prediction."""
 
@@ -152,25 +191,33 @@ def _all_ok(fields: Iterable[str]) -> Column:
     return _and(F.col(f"_ok_{f}") for f in fields)
 
 
-def evaluation_report(
-    matched: DataFrame,
+COVERAGE_FIELDS = ("who", "what", "where", "when")
+
+
+def report_sums(
     *,
     strict_when: bool = False,
-    coverage_fields: Iterable[str] = ("who", "what", "where", "when"),
+    coverage_fields: Iterable[str] = COVERAGE_FIELDS,
     all_fields: Column | None = None,
-) -> DataFrame:
-    """One row: `n`, `coverage`, `sentence_accuracy`, `gold_presence`, `metrics`."""
+) -> list[Column]:
+    """The report's aggregate expressions over matched rows; they may also be observed while the rows are written."""
     counts = {f: outcomes(f, strict_when) for f in FIELDS}
-    flat = [F.count("*").alias("n")]
-    for f in coverage_fields:
-        flat.append(_share(~is_empty(F.col(f))).alias(f"cov_{f}"))
+    flat = [F.count("*").alias("n"), *_coverage_sums(coverage_fields)]
     for f in FIELDS:
         flat.append(_share(F.col(f"_ok_{f}")).alias(f"acc_{f}"))
         flat.append(_share(~is_empty(F.col(f"gold_{f}"))).alias(f"gold_{f}"))
         flat += [agg.alias(f"{kind}_{f}") for kind, agg in counts[f].items()]
     whole = _all_ok(FIELDS) if all_fields is None else all_fields
     flat.append(_share(whole).alias("acc_all"))
-    sums = matched.agg(*flat)
+    return flat
+
+
+def _coverage_sums(fields: Iterable[str]) -> list[Column]:
+    return [_share(~is_empty(F.col(f))).alias(f"cov_{f}") for f in fields]
+
+
+def report_of(sums: DataFrame, coverage_fields: Iterable[str] = COVERAGE_FIELDS) -> DataFrame:
+    """One row: `n`, `coverage`, `sentence_accuracy`, `gold_presence`, `metrics` from the row of sums."""
     return sums.select(
         "n",
         F.struct(*[F.col(f"cov_{f}").alias(f"{f}_rate") for f in coverage_fields]).alias("coverage"),
@@ -184,6 +231,18 @@ def evaluation_report(
     )
 
 
+def evaluation_report(
+    matched: DataFrame,
+    *,
+    strict_when: bool = False,
+    coverage_fields: Iterable[str] = COVERAGE_FIELDS,
+    all_fields: Column | None = None,
+) -> DataFrame:
+    """One row: `n`, `coverage`, `sentence_accuracy`, `gold_presence`, `metrics`."""
+    sums = report_sums(strict_when=strict_when, coverage_fields=coverage_fields, all_fields=all_fields)
+    return report_of(matched.agg(*sums), coverage_fields)
+
+
 def report_rows(report: DataFrame) -> DataFrame:
     """The nested report as one row per field."""
     coverage = report.schema["coverage"].dataType.fieldNames()
@@ -216,18 +275,12 @@ def _entity_evidence(field: str, kinds: Iterable[str]) -> tuple[Column, Column]:
     return F.size(known) > 0, named
 
 
-def proxy_counts(df: DataFrame) -> DataFrame:
-    """Counts per field with the sentence's entities as truth.
-
-    `df` has the five predictions and `ents` as array of `(label, text)`.
-    A prediction beside an entity it does not contain counts nothing; what and
-    trigger have no entity kind and stay 0.
-    """
+def _proxy_aggregates() -> list[Column]:
     aggregates = []
     for f in FIELDS:
         kinds = PROXY_ENTITIES.get(f)
         if kinds is None:
-            aggregates += [F.lit(0).cast("bigint").alias(f"{k}_{f}") for k in ("tp", "fp", "fn")]
+            aggregates += [F.sum(F.lit(0).cast("bigint")).alias(f"{k}_{f}") for k in ("tp", "fp", "fn")]
             continue
         pred = F.coalesce(F.col(f), F.lit("")) != ""
         some, overlap = _entity_evidence(f, kinds)
@@ -236,7 +289,24 @@ def proxy_counts(df: DataFrame) -> DataFrame:
             _count(pred & ~some).alias(f"fp_{f}"),
             _count(~pred & some).alias(f"fn_{f}"),
         ]
-    sums = df.agg(*aggregates)
+    return aggregates
+
+
+def proxy_sums() -> list[Column]:
+    """As `report_sums`, with the sentence's entities as truth: nothing is compared with gold, so those shares are 0."""
+    nothing = [F.avg(F.lit(0.0)).alias(name) for f in FIELDS for name in (f"acc_{f}", f"gold_{f}")]
+    return [F.count("*").alias("n"), *_coverage_sums(COVERAGE_FIELDS), *nothing, F.avg(F.lit(0.0)).alias("acc_all"), *_proxy_aggregates()]
+
+
+def proxy_counts(df: DataFrame) -> DataFrame:
+    """Counts per field with the sentence's entities as truth.
+
+    `df` has the five predictions and `ents` as array of `(label, text)`.
+    A prediction beside an entity it does not contain counts nothing; what and
+    trigger have no entity kind and stay 0.
+    """
+    sums = df.agg(*_proxy_aggregates())
+    counts = {f"{k}_{f}": F.coalesce(F.col(f"{k}_{f}"), F.lit(0)) for f in FIELDS for k in ("tp", "fp", "fn")}
     rows = F.array(
         *[
             F.struct(
@@ -245,7 +315,7 @@ def proxy_counts(df: DataFrame) -> DataFrame:
             for f in FIELDS
         ]
     )
-    return sums.select(F.inline(rows)).select(
+    return sums.withColumns(counts).select(F.inline(rows)).select(
         "field", prf(F.col("tp"), F.col("fp"), F.col("fn")).alias("m")
     ).select("field", "m.*")
 
@@ -262,11 +332,15 @@ def match_score() -> Column:
 
 
 def top_matches(matched: DataFrame, n: int) -> DataFrame:
-    """The n rows with the most correct fields; ties by id and sentence."""
+    """The n rows with the most correct fields; ties by id, sentence and a hash of the row, so only copies tie.
+
+    The n rows are a report for readers: they meet in one task, each task before it keeps n.
+    """
     return (
-        matched.withColumn("match_score", match_score())
-        .orderBy(F.desc("match_score"), "id", "sentence")
+        matched.withColumns({"match_score": match_score(), "_tie": F.md5(F.to_json(F.struct(*matched.columns)))})
+        .orderBy(F.desc("match_score"), "id", "sentence", "_tie")
         .limit(n)
+        .drop("_tie")
     )
 
 
