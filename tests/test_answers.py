@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidings.functions import answers as A
@@ -108,6 +109,62 @@ def test_batches_fall_back_to_single_calls(spark):
     assert {(r.label, r.what) for r in alone.collect()} == {("PROTEST", None)}
 
 
+def test_a_broken_run_goes_on_where_it_stopped(spark, tmp_path):
+    from tidings.operators import ledger
+
+    requests = spark.createDataFrame([(f"c{k}", "s", f"u{k}") for k in range(30)] + [("c0", "s", "u0")], "call string, system string, user string")
+    calls, path = spark.sparkContext.accumulator(0), str(tmp_path / "ledger")
+
+    def loader(stops=(), fails=()):
+        def load():
+            def chat(system, user):
+                if user in stops:
+                    raise SystemExit(1)
+                calls.add(1)
+                if user in fails:
+                    raise TimeoutError(user)
+                return user.upper()
+
+            return chat
+
+        return load
+
+    groups = {f"c{k}": g for k, g in requests.selectExpr("cast(substr(call, 2) as int)", "pmod(xxhash64(call), 6)").collect()}
+    last = max(groups, key=lambda c: (groups[c], c))
+    with pytest.raises(Exception):
+        ledger.ask(requests, loader(stops=(last.replace("c", "u"),)), path, commit=5).collect()
+    kept = {r.call for r in ledger.ledger(spark, path).collect()}
+    assert kept == {c for c, g in groups.items() if g < groups[last]} and kept
+    before = calls.value
+    got = ledger.ask(requests, loader(fails=("u1", last.replace("c", "u"))), path, commit=5).collect()
+    assert len(got) == 30
+    assert {r.call for r in got if r.error} == {last} | ({"c1"} - kept)
+    assert calls.value - before == 30 - len(kept)
+    before = calls.value
+    again = {r.call: r for r in ledger.ask(requests, loader(), path).collect()}
+    assert calls.value - before == len({last} | ({"c1"} - kept))
+    assert all(r.raw == c.replace("c", "U") and r.error is None for c, r in again.items())
+
+
+def test_a_failed_call_is_a_row_with_its_error(spark, tmp_path):
+    df = spark.createDataFrame([(float(k), t) for k, t in enumerate(["a", "zepsute", "b"])], "id double, sentence string")
+
+    def load(broken):
+        def chat(system, user):
+            if broken and "zepsute" in user:
+                raise ConnectionError("no answer")
+            return '{"label": "PROTEST", "confidence": 0.5, "who": "x"}'
+
+        return lambda: chat
+
+    path = str(tmp_path / "answers")
+    got = {r.sentence: r for r in ops.ask_in_batches(df, load(True), LABELS, answers_path=path).collect()}
+    assert got["zepsute"].error == "ConnectionError: no answer" and got["zepsute"].label is None
+    assert got["a"].label == "PROTEST" and got["a"].error is None
+    again = {r.sentence: r for r in ops.ask_in_batches(df, load(False), LABELS, answers_path=path).collect()}
+    assert again["zepsute"].label == "PROTEST" and again["zepsute"].error is None
+
+
 def test_batches_number_every_row(spark):
     from tidings.operators.sampling import with_row_index
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidings.functions import answers as A
 from tidings.functions.lexicon import FIELDS, NO_EVENT
-from tidings.operators.plugins import call_texts
+from tidings.operators import ledger
 from tidings.operators.sampling import with_row_index
-from tidings.session import written
+from tidings.session import fresh_path, written
 
 # --- prompts ---------------------------------------------------------------
 # The instructions decide what the model answers.
@@ -158,48 +158,46 @@ def ask_in_batches(
     *,
     batch_size: int = 1,
     order: tuple[str, ...] = ("id", "sentence"),
+    answers_path: str | None = None,
+    commit: int = ledger.COMMIT,
 ) -> DataFrame:
-    """Label, confidence and five fields for every sentence from a caller's chat.
+    """Label, confidence, five fields and `error` for every sentence from a caller's chat.
 
     `load_chat()` runs once per Python worker and gives `chat(system, user)`.
     With a batch size above 1 whole batches are asked first; a failed call or a
-    sentence without an answer is asked for on its own. Answers are written
-    before they are read, so that no call is repeated by a later step.
+    sentence without an answer is asked for on its own. Every answer goes into
+    a ledger before it is read: with the same `answers_path` a run that was
+    broken off goes on where it stopped, and a rerun asks only for what failed.
+    A sentence whose own calls failed has nulls and the error.
     """
     known = label_list(labels)
-    numbered = with_row_index(df, list(order))
+    path = answers_path or fresh_path(df.sparkSession, "answers")
+    numbered = written(with_row_index(df, list(order)), "numbered-rows")
     answered, open_rows = None, numbered
     if batch_size > 1:
-        asked = micro_batches(numbered, batch_size).select(
-            "batch", F.lit(BATCH_SYSTEM).alias("system"), prompt(BATCH_PROMPT, F.col("items"), known).alias("user")
-        )
-        raw = written(call_texts(asked, load_chat, keep=("batch",), failures="null"), "batch-answers")
+        user = prompt(BATCH_PROMPT, F.col("items"), known)
+        asked = written(_requests(micro_batches(numbered, batch_size), "batch", "batch", BATCH_SYSTEM, user), "batch-calls")
+        raw = asked.join(ledger.ask(asked, load_chat, f"{path}/batch", commit=commit), "call").select("batch", "raw")
         size = F.lit(batch_size)
         parsed = parse_batch_answers(raw).where(F.floor(F.col("idx") / size) == F.col("batch"))
-        answers = last_answers(parsed, ["pos"]).drop("batch")
+        answers = written(last_answers(parsed, ["pos"]).drop("batch"), "batch-answers")
         answered, open_rows = rejoin_answers(numbered, answers)
-    single = written(
-        call_texts(
-            call_texts(
-                open_rows.select(
-                    "*",
-                    F.lit(CLASS_SYSTEM).alias("system"),
-                    prompt(CLASS_PROMPT, F.col("sentence"), known).alias("user"),
-                ),
-                load_chat,
-                keep=numbered.columns,
-            )
-            .withColumnRenamed("raw", "class_raw")
-            .withColumns(
-                {"system": F.lit(RELATION_SYSTEM), "user": prompt(RELATION_PROMPT, F.col("sentence"))}
-            ),
-            load_chat,
-            keep=(*numbered.columns, "class_raw"),
-        ),
-        "single-answers",
-    )
-    single = parse_relation_answers(parse_class_answers(single, labels, "class_raw"))
-    single = single.select(*numbered.columns, "label", "confidence", *FIELDS)
+    single = open_rows.select("*")
+    for kind, system, text in (("class", CLASS_SYSTEM, prompt(CLASS_PROMPT, F.col("sentence"), known)), ("relation", RELATION_SYSTEM, prompt(RELATION_PROMPT, F.col("sentence")))):
+        asked = written(_requests(open_rows, "idx", kind, system, text), f"{kind}-calls")
+        found = ledger.ask(asked, load_chat, f"{path}/{kind}", commit=commit)
+        found = asked.join(found, "call").select("idx", F.col("raw").alias(f"{kind}_raw"), F.col("error").alias(f"{kind}_error"))
+        single = single.join(found, "idx")
+    single = written(single, "single-answers").withColumn("error", F.coalesce("class_error", "relation_error"))
+    single = parse_relation_answers(parse_class_answers(single, labels, "class_raw"), "relation_raw")
+    failed = {c: F.when(F.col("error").isNull(), F.col(c)) for c in ("label", "confidence", *FIELDS)}
+    single = single.withColumns(failed).select(*numbered.columns, "label", "confidence", *FIELDS, "error")
     if answered is None:
         return single
-    return answered.select(*single.columns).unionByName(single)
+    return answered.withColumn("error", F.lit(None).cast("string")).select(*single.columns).unionByName(single)
+
+
+def _requests(rows: DataFrame, key: str, kind: str, system: str, user: Column) -> DataFrame:
+    """`key, call, system, user`; a call is named by its kind, place and text."""
+    call = F.concat_ws(":", F.lit(kind), F.col(key).cast("string"), F.md5(F.coalesce(user, F.lit(""))))
+    return rows.select(key, call.alias("call"), F.lit(system).alias("system"), user.alias("user"))
