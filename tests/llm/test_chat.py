@@ -90,3 +90,11 @@ def test_parts_do_not_change_the_result(spark):
     assert sum(map(len, parts)) > 10
     merged = pd.concat(C._read_back(iter(parts)))
     assert sorted(map(tuple, merged.itertuples(index=False))) == [tuple(r) for r in whole]
+
+
+def test_large_ids_beside_a_null_stay_apart(spark, tables):
+    big = 2**53
+    rows = [(big, 0, "user", "a"), (big + 1, 0, "user", "b"), (None, 0, "user", "c"), (None, 1, "assistant", "d"), (big + 1, 1, "assistant", "e")]
+    folder = tables(conversations=spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: (r.n_turns, r.loss_chars) for r in C.op2_chat_format(spark, folder).collect()}
+    assert got == {big: (1, 0), big + 1: (2, 1), None: (2, 1), -1: (2, 21)}

@@ -26,7 +26,7 @@ TEMPLATE = (
 )
 # Characters after which a part is closed; a single text is never cut.
 PART = 1 << 20
-PARTS = "conv_id long, part long, n_turns long, text string, loss array<struct<start:long,stop:long>>"
+PARTS = "conv_id string, part long, n_turns long, text string, loss array<struct<start:long,stop:long>>"
 # The conversation that tests the escaping.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -80,7 +80,10 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
     """
     compile_template(template)  # a faulty template fails here
     dealt = rows.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.select("conv_id", "role", "text").mapInPandas(_render(template), PARTS)
+    # Ids travel as text: numbers beside a null would become floats in pandas.
+    kind = dict(rows.dtypes)["conv_id"]
+    parts = dealt.select(F.col("conv_id").cast("string").alias("conv_id"), "role", "text").mapInPandas(_render(template), PARTS)
+    return parts.withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def turns_of(pieces: Iterator[str]) -> Iterator[tuple[str, str]]:
@@ -131,8 +134,9 @@ def _digests(rows: list[tuple]) -> pd.DataFrame:
 
 def read_back(parts: DataFrame) -> DataFrame:
     """Digests per conversation, from the output of `format_conversations` as it lies in its partitions."""
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return parts.mapInPandas(_read_back, schema)
+    schema = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    kind, ids = dict(parts.dtypes)["conv_id"], F.col("conv_id").cast("string")
+    return parts.withColumn("conv_id", ids).mapInPandas(_read_back, schema).withColumn("conv_id", F.col("conv_id").cast(kind))
 
 
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:

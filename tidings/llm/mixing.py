@@ -19,7 +19,6 @@ from tidings.session import written
 
 WEIGHTS = (5, 2, 1)
 TOLERANCE = 1e-6
-MAX_STEPS = 40
 
 
 def source_key(source: Column) -> Column:
@@ -54,7 +53,7 @@ def source_targets(sizes: DataFrame, *, weights=WEIGHTS, share: float = 1.5, max
 
 
 def solve_tilts(cells: DataFrame, targets: DataFrame, max_copies: int) -> DataFrame:
-    """key and tilt per source, by Newton steps on log(tokens / target) kept inside a shrinking bracket."""
+    """key and tilt per source, by Newton steps on log(tokens / target) kept inside a shrinking bracket, until all targets are met."""
     scale = cells.groupBy("key").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
     tilts = (
         targets.where("target > 0")
@@ -63,7 +62,7 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, max_copies: int) -> DataFr
                 F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"), F.lit(1.0).alias("miss"))
     )
     tilts = written(tilts, "tilts")
-    for _ in range(MAX_STEPS):
+    while True:
         x = F.col("size") / F.col("mean")
         rate = F.exp(F.least(F.col("tilt") * x, F.lit(700.0)))
         tokens = F.col("n") * F.col("size")
@@ -87,8 +86,11 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, max_copies: int) -> DataFr
             .otherwise(F.col("tilt") - far)
         )
         step = F.when(F.abs(gap) < TOLERANCE, F.col("tilt")).when((F.col("slope") > 0) & inside, newton).otherwise(middle)
+        # A bracket that can't be halved any more holds the tilt as exactly as doubles do.
+        shut = hi - lo <= 1e-14 * (1 + F.abs("tilt"))
+        miss = F.when(shut, 0.0).otherwise(F.abs(gap))
         tilts = written(
-            sums.select("key", "target", "mean", step.alias("tilt"), lo.alias("lo"), hi.alias("hi"), F.abs(gap).alias("miss")),
+            sums.select("key", "target", "mean", step.alias("tilt"), lo.alias("lo"), hi.alias("hi"), miss.alias("miss")),
             "tilts",
         )
         worst = tilts.where("target < 1e300").agg(F.max("miss")).first()[0]

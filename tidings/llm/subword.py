@@ -4,7 +4,7 @@ A text becomes a bag of buckets: hashes of its character n-grams inside words
 (with word ends marked) and, if asked for, of its words and word pairs. Texts are
 turned into arrays in blocks, so that a task holds a bounded number of
 characters at a time; a text that is longer than a block is cut between words
-and its parts are added up.
+and its parts are added up, with the word pairs that the cuts take apart.
 """
 
 from __future__ import annotations
@@ -79,8 +79,26 @@ class Features:
             yield starts[same + 1], ((pairs ^ (pairs >> np.uint64(31))) * MIX) >> shift
 
 
-def blocks(features: Features, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text numbers, first position of each, code points with a 0 between texts) of bounded length."""
+def _bridge(features: Features, x: np.ndarray, at: int, stop: int) -> int | None:
+    """The bucket of the pair of words that a cut at `stop` takes apart; None if there is no word in x[at:stop] or behind it."""
+    left, right = np.flatnonzero(x[at:stop]), np.flatnonzero(x[stop:])
+    if not features.words or not len(left) or not len(right):
+        return None
+    end, first = at + int(left[-1]) + 1, stop + int(right[0])
+    before, after = np.flatnonzero(x[:end] == 0), np.flatnonzero(x[first:] == 0)
+    words = x[int(before[-1]) + 1 if len(before) else 0 : end], x[first : first + int(after[0]) if len(after) else len(x)]
+    zero = np.zeros(1, np.uint64)
+    *_, (_, bucket) = features.buckets(np.concatenate([zero, words[0], zero, words[1], zero]), np.ones(1, np.int64))
+    return int(bucket[0])
+
+
+def blocks(
+    features: Features, texts: Sequence[str | None], bridges: list[tuple[int, int]] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text numbers, first position of each, code points with a 0 between texts) of bounded length.
+
+    To `bridges` it adds (text number, bucket) of the word pairs that its cuts take apart.
+    """
     own, starts, parts, length = [], [], [], 1
     zero = np.zeros(1, np.uint64)
     for number, text in enumerate(texts):
@@ -98,6 +116,8 @@ def blocks(features: Features, texts: Sequence[str | None]) -> Iterator[tuple[np
                 else:
                     after = np.flatnonzero(x[stop:] == 0)
                     stop += int(after[0]) if len(after) else len(x) - stop
+            if stop < len(x) and bridges is not None and (pair := _bridge(features, x, at, stop)) is not None:
+                bridges.append((number, pair))
             if length + stop - at > BLOCK and own:
                 yield np.array(own), np.array(starts), np.concatenate([zero, *parts])
                 own, starts, parts, length = [], [], [], 1
@@ -114,7 +134,8 @@ def table_sums(features: Features, table: np.ndarray, texts: Sequence[str | None
     """Per text: the sum of its features' table rows, and their number."""
     sums, counts = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts))
     columns = np.ascontiguousarray(table.T)
-    for own, starts, x in blocks(features, texts):
+    bridges: list[tuple[int, int]] = []
+    for own, starts, x in blocks(features, texts, bridges):
         for at, bucket in features.buckets(x, starts):
             # A feature at the mark before a text belongs to that text.
             cuts = np.searchsorted(at, np.append(starts - 1, len(x)))
@@ -125,15 +146,20 @@ def table_sums(features: Features, table: np.ndarray, texts: Sequence[str | None
                 values = column[bucket].astype(np.float64)
                 if some.any():
                     np.add.at(sums[:, k], own[some], np.add.reduceat(values, cuts[:-1][some]))
+    for number, bucket in bridges:
+        sums[number] += table[bucket]
+        counts[number] += 1
     return sums, counts
 
 
 def bag(features: Features, text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
     total = np.zeros(1 << features.bits)
-    for _, starts, x in blocks(features, [text]):
+    bridges: list[tuple[int, int]] = []
+    for _, starts, x in blocks(features, [text], bridges):
         for _, bucket in features.buckets(x, starts):
             total += np.bincount(bucket.astype(np.int64), minlength=len(total))
+    np.add.at(total, [bucket for _, bucket in bridges], 1)
     found = np.flatnonzero(total)
     return found.astype(np.int32), (total[found] / max(total.sum(), 1)).astype(np.float32)
 
