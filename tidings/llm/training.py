@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidings.llm.subword import Features, Model, bag, calibrate, softmax, train
@@ -25,6 +28,10 @@ def _bags(features: Features):
     return bags
 
 
+def _views(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(value.as_buffer(), kind) if value.as_buffer().size else np.zeros(0, kind) for value in column]
+
+
 def labelled(rows: DataFrame) -> DataFrame:
     """label and text hash of the rows (label, text) that have both."""
     known = rows.where("label is not null and text is not null")
@@ -59,10 +66,11 @@ def fit(known: DataFrame, docs: DataFrame, features: Features, *, max_rows: int,
         .agg(F.first("text").alias("text"), F.first("label").alias("label"), F.first("place").alias("place"))
         .select("label", "place", "text")
     )
-    found = texts.mapInPandas(_bags(features), "label string, place long, buckets binary, shares binary").toPandas()
-    found = found.sort_values(["place", "label"])
-    bags = [(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32)) for b, s in zip(found["buckets"], found["shares"])]
-    labels = np.array([classes.index(x) for x in found["label"]])
+    # As Arrow, whose buffers the bags only view: the driver holds the features once.
+    found = texts.mapInPandas(_bags(features), "label string, place long, buckets binary, shares binary").toArrow()
+    found = found.take(pc.sort_indices(found, [("place", "ascending"), ("label", "ascending")])).combine_chunks()
+    bags = list(zip(_views(found["buckets"], np.int32), _views(found["shares"], np.float32)))
+    labels = np.array([classes.index(x) for x in found["label"].to_pylist()])
     held = found["place"].to_numpy() % 5 == 4
     kept = [b for b, h in zip(bags, held) if not h]
     model = train(features, kept, labels[~held], classes, epochs=epochs, rate=rate, seed=seed)
@@ -73,6 +81,9 @@ def fit(known: DataFrame, docs: DataFrame, features: Features, *, max_rows: int,
     prior = np.log(np.array([shares[c] for c in classes]) / np.maximum(seen, 1))
     shift = model.temperature * (prior - prior.mean())
     model.bias = model.bias + shift
+    del found, bags, kept
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     return model, (logits + shift) / model.temperature, labels[held]
 
 
