@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 from trees import by_sql, sentence
 
+from tidings.functions.binding import let
 from tidings.operators import plugins, relations as R
 
 SCHEMA = f"id int, tokens {plugins.TOKENS}, ents {plugins.ENTS}"
@@ -155,13 +156,23 @@ def test_random_trees_match_the_sql(spark):
     assert not wrong, wrong[0]
 
 
-def test_paths_of_a_deep_chain(spark):
-    n = 200
-    chain = [(i, "x", " ", "x", "NOUN", "ROOT" if i == 0 else "nmod", max(i - 1, 0), "", "") for i in range(n)]
+def test_subtrees_of_a_very_deep_chain(spark):
+    n = 20_000
+    chain = [(i, "x", " ", "x", "PROPN" if i % 1000 == 999 else "NOUN", "ROOT" if i == 0 else "nmod", max(i - 1, 0), "", "") for i in range(n)]
     df = spark.createDataFrame([(0, chain, [])], SCHEMA)
-    paths = df.select(R.ancestor_paths(F.col("tokens")).alias("p")).first().p
-    assert [len(p) for p in paths] == list(range(1, n + 1))
-    assert paths[-1] == list(range(n - 1, -1, -1))
+    tree = df.select(R.measure_tree(F.col("tokens")).alias("m")).first().m
+    assert [(m.enter, m.size) for m in tree.spans] == [(i, n - i) for i in range(n)]
+    assert tree.name == list(range(999, n, 1000))
+    phrase = df.select(let(R.measure_tree(F.col("tokens")), lambda m: R.full_phrase(F.col("tokens"), m, F.lit(n - 3))).alias("p"))
+    assert phrase.first().p == "x x x"
+
+
+def test_heads_outside_the_sentence_make_roots(spark):
+    heads = [0, None, 9, -1, 2]
+    tokens = [(i, "x", " ", "x", "NOUN", "dep", h, None, "") for i, h in enumerate(heads)]
+    df = spark.createDataFrame([(0, tokens, [])], SCHEMA)
+    tree = df.select(R.measure_tree(F.col("tokens")).alias("m")).first().m
+    assert [m.size for m in tree.spans] == [1, 1, 2, 1, 1]
 
 
 def test_empty_sentence(spark):

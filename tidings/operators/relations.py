@@ -37,52 +37,119 @@ def children(tokens: Column, head: Column) -> Column:
     return F.filter(tokens, lambda t: (t["head"] == head) & (t["i"] != head))
 
 
-def ancestor_paths(tokens: Column) -> Column:
-    """Per token the indices from itself up to its root.
+def _governor(token: Column, n: Column) -> Column:
+    """The head's index, -1 for a root; a head outside the sentence makes a root, too."""
+    inside = (token["head"] != token["i"]) & token["head"].between(0, n - 1)
+    return F.when(inside, token["head"]).otherwise(F.lit(-1))
 
-    Paths double in every round, so a tree of n tokens needs log2(n) rounds
-    whatever its depth.
+
+def measure_tree(tokens: Column) -> Column:
+    """Struct of the tokens' places in the tree and of the places with a mark.
+
+    `spans`: per token `enter`, its place in pre-order, and `size` of its subtree,
+    whose tokens are those with the `size` places from `enter` on. `time`,
+    `place`, `name`, `preposition`: the places of tokens that are one.
     """
-    start = F.transform(
-        tokens,
-        lambda t: F.struct(
-            F.when(t["head"] != t["i"], t["head"]).alias("up"),
-            F.array(t["i"]).alias("path"),
+    return let(
+        _spans(tokens),
+        lambda spans: F.struct(
+            spans.alias("spans"),
+            *[_places(tokens, spans, rule).alias(mark) for mark, rule in _MARKS.items()],
         ),
     )
 
-    def double(known: Column, _round: Column) -> Column:
-        return F.transform(
-            known,
-            lambda x: F.when(x["up"].isNull(), x).otherwise(
-                let(
-                    F.get(known, x["up"]),
-                    lambda above: F.struct(
-                        above["up"].alias("up"),
-                        F.concat(x["path"], above["path"]).alias("path"),
-                    ),
-                )
+
+_MARKS = {
+    "time": lambda t: t["ent_type"].isin(*L.TIME_ENTITIES) | time_word(t) | calendar_lemma(t),
+    "place": lambda t: t["ent_type"].isin(*L.LOCATION_ENTITIES) | F.lower(t["lemma"]).isin(*L.PLACE_LEMMAS),
+    "name": lambda t: t["pos"] == "PROPN",
+    "preposition": lambda t: ((t["pos"] == "ADP") | (base_dep(t) == "case"))
+    & F.lower(t["lemma"]).isin(*L.LOCATION_PREPOSITIONS),
+}
+
+
+def _places(tokens: Column, spans: Column, rule) -> Column:
+    return F.transform(F.filter(tokens, rule), lambda t: F.get(spans, t["i"])["enter"])
+
+
+def _spans(tokens: Column) -> Column:
+    """Places by a walk around the tree: a linked list of a step down to and a
+    step up from each token. How many steps down follow comes from pointers that
+    double their reach: log2(2n) rounds over 2n numbers, however deep the tree is.
+    """
+    n = F.size(tokens)
+    end = 2 * n
+    # Sorted by (key, child), a token's own entry (child -1) stands before its
+    # children's, so what comes next in the walk stands next in the list.
+    own = F.transform(tokens, lambda t: F.struct(t["i"].alias("key"), F.lit(-1).alias("child")))
+    below = F.transform(tokens, lambda t: F.struct(_governor(t, n).alias("key"), t["i"].alias("child")))
+
+    def walk(entries: Column) -> Column:
+        placed = F.transform(entries, lambda e, p: F.struct(e["child"].alias("child"), p.alias("p")))
+        down = F.filter(placed, lambda e: e["child"] < 0)["p"]
+        up = F.array_sort(F.filter(placed, lambda e: e["child"] >= 0))["p"]
+        return let(F.struct(down.alias("down"), up.alias("up")), lambda at: ranked(entries, at))
+
+    def following(entries: Column, at: Column, e: Column, p: Column) -> Column:
+        return let(
+            F.get(entries, p + 1),
+            lambda y: F.coalesce(
+                F.when(y["key"] == e["key"], F.get(at["down"], y["child"])),
+                F.when(e["key"] >= 0, F.get(at["up"], e["key"])),
+                end,
             ),
         )
 
-    rounds = F.sequence(
-        F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(F.size(tokens), F.lit(2)))).cast("int"))
-    )
-    return F.aggregate(rounds, start, double, lambda known: F.transform(known, lambda x: x["path"]))
+    def ranked(entries: Column, at: Column) -> Column:
+        start = F.struct(
+            # The list's end is an element of its own that leads to itself.
+            F.concat(F.transform(entries, lambda e, p: following(entries, at, e, p)), F.array(end)).alias("next"),
+            F.concat(F.transform(entries, lambda e: (e["child"] < 0).cast("int")), F.array(F.lit(0))).alias("downs"),
+        )
+
+        def double(known: Column, _round: Column) -> Column:
+            return F.struct(
+                F.transform(known["next"], lambda x: F.get(known["next"], x)).alias("next"),
+                F.transform(
+                    known["downs"], lambda d, p: d + F.get(known["downs"], F.get(known["next"], p))
+                ).alias("downs"),
+            )
+
+        rounds = F.ceil(F.log2(F.greatest(end, F.lit(2)))).cast("int")
+        downs = F.aggregate(F.sequence(F.lit(1), rounds), start, double, lambda known: known["downs"])
+        return let(
+            downs,
+            lambda d: F.transform(
+                F.arrays_zip(at["down"].alias("down"), at["up"].alias("up")),
+                lambda x: F.struct(
+                    (n - F.get(d, x["down"])).alias("enter"),
+                    (F.get(d, x["down"]) - F.get(d, x["up"])).alias("size"),
+                ),
+            ),
+        )
+
+    return let(F.array_sort(F.concat(own, below)), walk)
+
+
+def _within(place: Column, span: Column) -> Column:
+    return (place >= span["enter"]) & (place < span["enter"] + span["size"])
 
 
-def subtree(tokens: Column, paths: Column, index: Column) -> Column:
+def subtree(tokens: Column, tree: Column, index: Column) -> Column:
     """The token at `index` with all its descendants."""
-    return F.filter(tokens, lambda t: F.array_contains(F.get(paths, t["i"]), index))
+    return let(
+        F.get(tree["spans"], index),
+        lambda top: F.filter(tokens, lambda t: _within(F.get(tree["spans"], t["i"])["enter"], top)),
+    )
 
 
 def joined_text(tokens: Column) -> Column:
     return F.array_join(F.transform(tokens, lambda t: F.concat(t["text"], t["ws"])), "")
 
 
-def full_phrase(tokens: Column, paths: Column, index: Column) -> Column:
+def full_phrase(tokens: Column, tree: Column, index: Column) -> Column:
     """Text of the subtree at `index`; null when `index` is null."""
-    return F.when(index.isNotNull(), py_strip(joined_text(subtree(tokens, paths, index))))
+    return F.when(index.isNotNull(), py_strip(joined_text(subtree(tokens, tree, index))))
 
 
 def span_text(tokens: Column, start: Column, end: Column) -> Column:
@@ -112,48 +179,26 @@ def calendar_lemma(token: Column) -> Column:
     return F.lower(token["lemma"]).isin(*L.DAY_LEMMAS, *L.MONTH_LEMMAS)
 
 
-def _over(tokens: Column, paths: Column, condition) -> Column:
-    """Indices of all tokens whose subtree has a token that meets the condition."""
-    hits = F.filter(tokens, condition)
-    return F.array_distinct(F.flatten(F.transform(hits, lambda t: F.get(paths, t["i"]))))
-
-
-def subtree_marks(tokens: Column, paths: Column) -> Column:
-    """Which tokens govern a time, a place, a proper noun, a place preposition."""
-    return F.struct(
-        _over(
-            tokens,
-            paths,
-            lambda t: t["ent_type"].isin(*L.TIME_ENTITIES) | time_word(t) | calendar_lemma(t),
-        ).alias("time"),
-        _over(
-            tokens,
-            paths,
-            lambda t: t["ent_type"].isin(*L.LOCATION_ENTITIES)
-            | F.lower(t["lemma"]).isin(*L.PLACE_LEMMAS),
-        ).alias("place"),
-        _over(tokens, paths, lambda t: t["pos"] == "PROPN").alias("name"),
-        _over(
-            tokens,
-            paths,
-            lambda t: ((t["pos"] == "ADP") | (base_dep(t) == "case"))
-            & F.lower(t["lemma"]).isin(*L.LOCATION_PREPOSITIONS),
-        ).alias("preposition"),
+def governs(tree: Column, index: Column, mark: str) -> Column:
+    """Whether the subtree at `index` has a token with the mark; null without index."""
+    return let(
+        F.get(tree["spans"], index), lambda top: F.exists(tree[mark], lambda place: _within(place, top))
     )
 
 
-def is_time(marks: Column, index: Column) -> Column:
-    return F.array_contains(marks["time"], index)
+def is_time(tree: Column, index: Column) -> Column:
+    return F.when(index.isNotNull(), governs(tree, index, "time"))
 
 
-def looks_like_location(marks: Column, index: Column) -> Column:
+def looks_like_location(tree: Column, index: Column) -> Column:
     """A place, or a proper noun behind a place preposition; never a time."""
-    return ~is_time(marks, index) & (
-        F.array_contains(marks["place"], index)
-        | (
-            F.array_contains(marks["name"], index)
-            & F.array_contains(marks["preposition"], index)
-        )
+    return F.when(
+        index.isNotNull(),
+        ~governs(tree, index, "time")
+        & (
+            governs(tree, index, "place")
+            | (governs(tree, index, "name") & governs(tree, index, "preposition"))
+        ),
     )
 
 
@@ -237,7 +282,7 @@ def trigger_token(tokens: Column) -> Column:
 # --- arguments -------------------------------------------------------------
 
 
-def argument_indices(tokens: Column, marks: Column, trigger: Column) -> Column:
+def argument_indices(tokens: Column, tree: Column, trigger: Column) -> Column:
     """Token indices of the trigger's arguments, each null when absent.
 
     The children are read once from left to right: the first time phrase is
@@ -247,15 +292,15 @@ def argument_indices(tokens: Column, marks: Column, trigger: Column) -> Column:
 
     def choose(kids: Column) -> Column:
         oblique = F.filter(kids, lambda c: base_dep(c) == "obl")
-        when = first(F.filter(oblique, lambda c: is_time(marks, c["i"])))["i"]
-        where = first(F.filter(oblique, lambda c: looks_like_location(marks, c["i"])))["i"]
+        when = first(F.filter(oblique, lambda c: is_time(tree, c["i"])))["i"]
+        where = first(F.filter(oblique, lambda c: looks_like_location(tree, c["i"])))["i"]
         subjects = F.filter(kids, lambda c: base_dep(c) == "nsubj")
         return let(
             F.struct(when.alias("when"), where.alias("where")),
             lambda taken: F.struct(
                 taken["when"].alias("when"),
                 taken["where"].alias("where"),
-                first(F.filter(kids, lambda c: _is_what(c, marks, taken)))["i"].alias("what"),
+                first(F.filter(kids, lambda c: _is_what(c, tree, taken)))["i"].alias("what"),
                 first(subjects)["i"].alias("first_subject"),
                 F.try_element_at(subjects, F.lit(-1))["i"].alias("subject"),
                 F.try_element_at(subjects, F.lit(-1))["pos"].alias("subject_pos"),
@@ -265,10 +310,10 @@ def argument_indices(tokens: Column, marks: Column, trigger: Column) -> Column:
     return let(children(tokens, trigger["i"]), choose)
 
 
-def _is_what(child: Column, marks: Column, taken: Column) -> Column:
+def _is_what(child: Column, tree: Column, taken: Column) -> Column:
     dep, i = base_dep(child), child["i"]
     leftover = ~i.eqNullSafe(taken["when"]) & ~i.eqNullSafe(taken["where"])
-    plain = ~is_time(marks, i) & ~looks_like_location(marks, i)
+    plain = ~is_time(tree, i) & ~looks_like_location(tree, i)
     return (
         dep.isin("obj", "iobj", "xcomp", "ccomp")
         | ((dep == "obl") & leftover)
@@ -276,7 +321,7 @@ def _is_what(child: Column, marks: Column, taken: Column) -> Column:
     )
 
 
-def fallback_where(tokens: Column, ents: Column, paths: Column, marks: Column) -> Column:
+def fallback_where(tokens: Column, ents: Column, tree: Column) -> Column:
     """The latest location entity, a preceding preposition counting two places;
     without entities the first noun phrase that is a place with a preposition.
     """
@@ -298,11 +343,11 @@ def fallback_where(tokens: Column, ents: Column, paths: Column, marks: Column) -
         F.filter(
             tokens,
             lambda t: t["pos"].isin("NOUN", "PROPN")
-            & looks_like_location(marks, t["i"])
-            & F.array_contains(marks["preposition"], t["i"]),
+            & looks_like_location(tree, t["i"])
+            & governs(tree, t["i"], "preposition"),
         )
     )["i"]
-    return F.coalesce(by_entity, let(noun, lambda i: full_phrase(tokens, paths, i)))
+    return F.coalesce(by_entity, let(noun, lambda i: full_phrase(tokens, tree, i)))
 
 
 def fallback_when(tokens: Column, ents: Column) -> Column:
@@ -342,46 +387,43 @@ def looks_numeric(text: Column) -> Column:
 def extract_relations(tokens: Column, ents: Column) -> Column:
     """Struct `who, trigger, what, where, when`; every field may be null."""
 
-    def with_marks(paths: Column) -> Column:
+    def with_tree(tree: Column) -> Column:
         return let(
-            subtree_marks(tokens, paths),
-            lambda marks: let(
+            F.struct(
+                trigger_token(tokens).alias("trigger"),
+                fallback_where(tokens, ents, tree).alias("where"),
+                fallback_when(tokens, ents).alias("when"),
+            ),
+            lambda base: F.when(
+                base["trigger"].isNull(),
                 F.struct(
-                    trigger_token(tokens).alias("trigger"),
-                    fallback_where(tokens, ents, paths, marks).alias("where"),
-                    fallback_when(tokens, ents).alias("when"),
+                    _no_text().alias("who"),
+                    _no_text().alias("trigger"),
+                    _no_text().alias("what"),
+                    base["where"].alias("where"),
+                    base["when"].alias("when"),
                 ),
-                lambda base: F.when(
-                    base["trigger"].isNull(),
-                    F.struct(
-                        _no_text().alias("who"),
-                        _no_text().alias("trigger"),
-                        _no_text().alias("what"),
-                        base["where"].alias("where"),
-                        base["when"].alias("when"),
-                    ),
-                ).otherwise(_from_trigger(tokens, ents, paths, marks, base)),
-            ),
+            ).otherwise(_from_trigger(tokens, ents, tree, base)),
         )
 
-    return let(ancestor_paths(tokens), with_marks)
+    return let(measure_tree(tokens), with_tree)
 
 
-def _from_trigger(tokens, ents, paths, marks, base) -> Column:
+def _from_trigger(tokens, ents, tree, base) -> Column:
     person = first(F.filter(ents, lambda e: e["label"].isin(*L.PERSON_ENTITIES)))
 
     def phrases(found: Column) -> Column:
-        subject_is_place = looks_like_location(marks, found["first_subject"])
-        subject_is_time = is_time(marks, found["first_subject"])
+        subject_is_place = looks_like_location(tree, found["first_subject"])
+        subject_is_time = is_time(tree, found["first_subject"])
         return F.struct(
-            full_phrase(tokens, paths, found["subject"]).alias("subject"),
+            full_phrase(tokens, tree, found["subject"]).alias("subject"),
             found["subject_pos"].alias("subject_pos"),
             F.coalesce(subject_is_place, F.lit(False)).alias("subject_is_place"),
             F.coalesce(subject_is_time, F.lit(False)).alias("subject_is_time"),
             let(person, lambda e: span_text(tokens, e["start"], e["end"])).alias("person"),
-            full_phrase(tokens, paths, found["what"]).alias("what"),
-            F.coalesce(full_phrase(tokens, paths, found["where"]), base["where"]).alias("where"),
-            F.coalesce(full_phrase(tokens, paths, found["when"]), base["when"]).alias("when"),
+            full_phrase(tokens, tree, found["what"]).alias("what"),
+            F.coalesce(full_phrase(tokens, tree, found["where"]), base["where"]).alias("where"),
+            F.coalesce(full_phrase(tokens, tree, found["when"]), base["when"]).alias("when"),
         )
 
     def settle(p: Column) -> Column:
@@ -423,7 +465,7 @@ def _from_trigger(tokens, ents, paths, marks, base) -> Column:
         )
 
     return let(
-        argument_indices(tokens, marks, base["trigger"]), lambda found: let(phrases(found), swap)
+        argument_indices(tokens, tree, base["trigger"]), lambda found: let(phrases(found), swap)
     )
 
 
