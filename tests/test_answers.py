@@ -221,3 +221,11 @@ def test_batch_items_look_like_a_json_writers(spark):
     items = [{"idx": 0, "sentence": 'a "q" ą\n'}, {"idx": 1, "sentence": None}]
     df = spark.createDataFrame([(i["idx"], i["sentence"]) for i in items], "idx long, sentence string")
     assert ops.micro_batches(df, 8).first()["items"] == json.dumps(items, ensure_ascii=False)
+
+
+def test_bare_numbers_inside_text_stay(spark):
+    raws = ['{"who": "x, NaN, y", "confidence": NaN}', '{"a": [-Infinity,Infinity , "\\", NaN]"], "b": NaN}', '{"a": NaNs}', "[" + "NaN," * 20_000 + "1]"]
+    got = column(spark, raws, lambda c: F.to_json(A.strict_json(c)))
+    assert json.loads(got[0]) == {"who": "x, NaN, y", "confidence": "NaN"}
+    assert json.loads(got[1]) == {"a": ["-Infinity", "Infinity", '", NaN]'], "b": "NaN"}
+    assert got[2] is None and len(json.loads(got[3])) == 20_001

@@ -9,8 +9,9 @@ from tidings.functions.lexicon import FIELDS
 from tidings.functions.text import NUMBER, none_if_empty, null_ish, py_strip, to_number
 
 
-# Numbers beyond the JSON standard that answers may hold as bare words.
-_BARE_NUMBER = r"(?<=[:,\[]\s{0,9})(-?Infinity|NaN)(?=\s*[,}\]])"
+# Numbers beyond the JSON standard that answers may hold as bare words, with all
+# that stands before them since the last one: whole strings, or characters of neither kind.
+_BARE_NUMBER = r'\G((?:"(?:[^"\\]++|\\.)*+"|(?!-?(?:Infinity|NaN))[^"])*+)(-?(?:Infinity|NaN))(?=\s*+(?:[,}\]]|$))'
 
 
 def strict_json(text: Column) -> Column:
@@ -23,7 +24,7 @@ def strict_json(text: Column) -> Column:
     session = SparkSession.getActiveSession()
     if session is not None:
         session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return F.coalesce(_standard_json(text), _standard_json(F.regexp_replace(text, _BARE_NUMBER, '"$1"')))
+    return F.coalesce(_standard_json(text), _standard_json(F.regexp_replace(text, _BARE_NUMBER, '$1"$2"')))
 
 
 def _standard_json(text: Column) -> Column:
