@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 from trees import by_sql, sentence
@@ -177,3 +178,34 @@ def test_heads_outside_the_sentence_make_roots(spark):
 
 def test_empty_sentence(spark):
     assert run(spark, [([], [])]) == [(None, None, None, None, None)]
+
+
+def star(n):
+    return [(i, "x", " ", "Las" if i == n - 1 else "x", "NOUN", "ROOT" if i == 0 else "obl", 0, "date" if i % 2 else "", "") for i in range(n)]
+
+
+def test_what_all_tokens_ask_for_grows_with_the_sentence(spark):
+    """Rules per token look at their own subtree, not at the whole sentence: 40,000 tokens end within the timeout."""
+    n = 40_000
+    df = spark.createDataFrame([(0, star(n), [])], SCHEMA)
+    tokens = F.col("tokens")
+    began = time.monotonic()
+    kids = df.select(F.transform(R.children_lists(tokens), lambda k: F.size(k)).alias("k")).first().k
+    assert kids == [n - 1] + [0] * (n - 1)
+
+    def judged(tree):
+        return F.transform(tokens, lambda t: R.is_time(tree, t["i"]) | R.looks_like_location(tree, t["i"]))
+
+    told = df.select(let(R.tree_spans(tokens), judged).alias("j")).first().j
+    assert told == [True] + [bool(i % 2) or i == n - 1 for i in range(1, n)]
+    found = df.select(let(R.tree_spans(tokens), lambda tree: R.full_phrases(tokens, tree)).alias("p")).first().p
+    assert found == [" ".join(["x"] * n)] + ["x"] * (n - 1)
+    assert time.monotonic() - began < 40
+
+
+def test_circles_of_heads_are_roots(spark):
+    tokens = [(i, "x", " ", "x", "NOUN", "dep", h, "", "") for i, h in enumerate([1, 0, 2, 2, 1])]
+    df = spark.createDataFrame([(0, tokens, []), (1, None, None)], SCHEMA).orderBy("id")
+    trees = [r.m.spans for r in df.select(R.measure_tree(F.col("tokens")).alias("m")).collect()]
+    assert [m.size for m in trees[0]] == [1, 1, 2, 1, 1]
+    assert trees[1] is None
