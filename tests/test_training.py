@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -249,3 +250,29 @@ def test_two_decimals_round_the_binary_value(spark):
 def test_all_line_breaks_split(spark):
     df = spark.createDataFrame([("a\x1cb\x1dc\x1ed\r\ne\u2028f",)], "t string")
     assert df.select(T.lines(F.col("t"))).first()[0] == list("abcdef")
+
+
+def test_char_terms_of_a_batch_are_those_of_each_text(spark):
+    from tidings.functions.grams import char_term_counts
+
+    rng = random.Random(3)
+    letters = "aąbżé \t\u2028ß😀İ" + "".join(map(chr, range(0x4E00, 0x4E20)))
+    texts = [None, "", " ", "a", " a\u3000ab\n", "ala ma kota ala", "x" * 3000, "".join(map(chr, range(0x3400, 0xD000)))]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = df.select("id", char_term_counts(F.col("t")).alias("now"), T.term_counts(T.char_ngrams(F.col("t"))).alias("then")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.now is None) == (texts[r.id] is None)
+        assert sorted(map(tuple, r.now or [])) == sorted(map(tuple, r.then or [])), r.id
+
+
+def test_char_terms_are_spread_over_tasks(spark, tmp_path):
+    """One small file is read by one task; its n-grams are made by all of them."""
+    from tidings.catalog import SPARK
+
+    rows = [(k, f"słowo {k} inne słowo") for k in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = SPARK["t05_char_ngrams"](spark, str(tmp_path))
+    assert "hashpartitioning(doc_id" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.term: (r.n, r.n_docs) for r in found.collect()}[" sł"] == (400, 200)
