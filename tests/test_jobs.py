@@ -128,3 +128,16 @@ def test_from_answers_to_report(spark):
     report = found.report.first()
     assert report.n == 4 and report.event_type.accuracy == 0.5 and report.metrics.who.tp == 2
     assert {r.label for r in found.classes.where("kind = 'label'").collect()} == set(labels)
+
+
+def test_phrases_move_once_to_their_lemmas(spark):
+    rows = [("a b", "c"), ("a b", "c"), (None, " ")]
+    df = spark.createDataFrame(rows, "who string, gold_who string")
+    dictionary = spark.createDataFrame([("a b", ["a", "b"]), ("c", ["c"])], "phrase string, lemmas array<string>")
+    known = E.with_phrase_lemmas(df, dictionary, ["who"])
+    got = sorted((r.who or "", r._lemmas_who, r._lemmas_gold_who) for r in known.collect())
+    assert got == [("", [], []), ("a b", ["a", "b"], ["c"]), ("a b", ["a", "b"], ["c"])]
+    # Rows aren't told apart by a shuffle of their own.
+    plan = known._jdf.queryExecution().sparkPlan().toString()
+    plan += known._jdf.queryExecution().executedPlan().toString()
+    assert "place" not in "".join(line for line in plan.splitlines() if "Exchange" in line or "keys=" in line)
