@@ -141,3 +141,18 @@ def test_phrases_move_once_to_their_lemmas(spark):
     plan = known._jdf.queryExecution().sparkPlan().toString()
     plan += known._jdf.queryExecution().executedPlan().toString()
     assert "place" not in "".join(line for line in plan.splitlines() if "Exchange" in line or "keys=" in line)
+
+
+def test_rows_are_made_once_for_file_and_report(spark, tmp_path, monkeypatch):
+    """The detail rows are written and summed up in one pass: their source is read by one job."""
+    from tidings.catalog import SPARK
+    from tidings.operators import evaluate
+    from tidings.sources import delimited
+
+    spark.createDataFrame([(1, "Ala ma kota. Pies śpi")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plans = []
+    write = delimited.write_predictions
+    monkeypatch.setattr(delimited, "write_predictions", lambda df, path: (plans.append(df._jdf.queryExecution().analyzed().toString()), write(df, path)))
+    monkeypatch.setattr(evaluate, "evaluation_report", None)
+    assert [r.n for r in SPARK["s01_s02_written_report"](spark, str(tmp_path)).collect()] == [2] * 5
+    assert "CollectMetrics" in plans[0]
