@@ -276,3 +276,15 @@ def test_char_terms_are_spread_over_tasks(spark, tmp_path):
     found = SPARK["t05_char_ngrams"](spark, str(tmp_path))
     assert "hashpartitioning(doc_id" in found._jdf.queryExecution().executedPlan().toString()
     assert {r.term: (r.n, r.n_docs) for r in found.collect()}[" sł"] == (400, 200)
+
+
+def test_term_sums_come_label_by_label():
+    """One label's numbers are held at a time, however many labels there are."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict(
+        {"places": pa.array([[0, 2], [1]], pa.list_(pa.int32())), "values": pa.array([[1.0, 2.0], [3.0]], pa.list_(pa.float64()))}
+    )
+    table = np.arange(6.0).reshape(3, 2)
+    got = [sums.tolist() for sums in newton._per_term(batch, table)]
+    assert got == [[0.0 + 2 * 4, 3 * 2.0], [1.0 + 2 * 5, 3 * 3.0]]
