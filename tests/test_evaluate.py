@@ -109,3 +109,19 @@ def test_record_without_event(spark):
     assert some.who == "who"
     text = records.extract_event(df).where("event_type = 'BRAK_ZDARZENIA'").select(records.record_text().alias("t")).first().t
     assert text == "Typ zdarzenia: BRAK_ZDARZENIA\nGDZIE: where\nKIEDY: when\nPewność: 0.50"
+
+
+def test_best_matches_are_kept_in_their_tasks(spark):
+    rows = frame(spark, *[{"who": f"w{k}", "gold_who": f"w{k}" if k % 3 else "x"} for k in range(40)]).repartition(4)
+    top = E.top_matches(E.with_matches(rows), 5)
+    assert [r.id for r in top.collect()] == [1, 2, 4, 5, 7]
+    for plan in (E.corrected_report(top), E.top_report(top)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_best_matches_tie_by_a_hash_of_the_row(spark):
+    rows = frame(spark, *[{"who": f"w{k}"} for k in range(30)]).withColumns({"id": F.lit(1), "sentence": F.lit("s")})
+    matched = E.with_matches(rows)
+    first = matched.orderBy(F.md5(F.to_json(F.struct(*matched.columns)))).limit(7).collect()
+    assert [r.who for r in E.top_matches(matched, 7).collect()] == [r.who for r in first]

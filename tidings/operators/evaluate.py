@@ -336,13 +336,12 @@ def top_matches(matched: DataFrame, n: int) -> DataFrame:
     """The n rows with the most correct fields; ties by id, sentence and a hash of the row, so only copies tie.
 
     The n rows are a report for readers: they meet in one task, each task before it keeps n.
+    The hash is a sort expression, which is worked out only where the columns before it tie.
     """
-    return (
-        matched.withColumns({"match_score": match_score(), "_tie": F.md5(F.to_json(F.struct(*matched.columns)))})
-        .orderBy(F.desc("match_score"), "id", "sentence", "_tie")
-        .limit(n)
-        .drop("_tie")
-    )
+    tie = F.md5(F.to_json(F.struct(*matched.columns)))
+    top = matched.withColumn("match_score", match_score()).orderBy(F.desc("match_score"), "id", "sentence", tie).limit(n)
+    # Keeps the optimizer from moving later projections below the limit, where they turn the n best into a sort of all rows.
+    return top.coalesce(1)
 
 
 def correct_field(field: str) -> Column:
