@@ -1,10 +1,11 @@
+import os
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from tidings.llm import language_id as L, quality_classifier as Q, subword as S
+from tidings.llm import language_id as L, quality_classifier as Q, subword as S, training
 
 SYLLABLES = {"xx": ["ka", "lo", "mi", "tur"], "yy": ["sch", "ein", "ver", "ung"], "zz": ["ció", "ñe", "rra", "que"]}
 
@@ -118,3 +119,18 @@ def test_training_repeats(seed):
     bags = [S.bag(L.FEATURES, text_of(rng, "xx", 9)) for _ in range(10)]
     one, two = (S.train(L.FEATURES, bags, np.arange(10) % 2, [0, 1], epochs=2) for _ in range(2))
     np.testing.assert_array_equal(one.table, two.table)
+
+
+def test_fit_runs_in_a_task(spark, monkeypatch):
+    plain = training.train
+
+    def noted(*args, **kinds):
+        model = plain(*args, **kinds)
+        model.pid = os.getpid()
+        return model
+
+    monkeypatch.setattr(training, "train", noted)
+    rows = spark.createDataFrame([(f"{w} {w}{k}", w) for k in range(10) for w in ("kot", "pies")], "text string, label string")
+    model, logits, held = training.fit(training.labelled(rows), rows, L.FEATURES, max_rows=20, epochs=2, rate=0.5)
+    assert model.pid != os.getpid() and model.classes == ["kot", "pies"]
+    assert logits.shape == (4, 2) and sorted(held) == [0, 0, 1, 1]
