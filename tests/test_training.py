@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidings.catalog import SPARK
 from tidings.functions import text as T
 from tidings.operators import classify, features, newton, sampling
 from tidings.plans import extraction, training
@@ -288,3 +289,22 @@ def test_term_sums_come_label_by_label():
     table = np.arange(6.0).reshape(3, 2)
     got = [sums.tolist() for sums in newton._per_term(batch, table)]
     assert got == [[0.0 + 2 * 4, 3 * 2.0], [1.0 + 2 * 5, 3 * 3.0]]
+
+
+def test_terms_stay_in_their_parts(spark, tmp_path, monkeypatch):
+    """With a vocabulary too large to broadcast no term moves to it and back; keys may repeat or be null."""
+    rows = [(k % 40 if k % 7 else None, " ".join(f"w{(k * j) % 17}" for j in range(k % 9 + 1)) + " ja Ärger") for k in range(120)]
+    rows += [(500, None), (501, ""), (502, "..."), (503, "alone")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    results = []
+    for limit in (features.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(features, "BROADCAST_BYTES", limit)
+        for query in ("t07_tfidf_words", "t07_tfidf"):
+            weights = SPARK[query](spark, str(tmp_path))
+            results.append(sorted(map(tuple, weights.collect()), key=repr))
+            plan = weights._jdf.queryExecution().sparkPlan().toString()
+            assert ("ShuffledHashJoin" in plan) == (limit == 0)
+            if not limit and query == "t07_tfidf_words":
+                moved = [line for line in weights._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+                assert moved and all("part#" in line and "term#" not in line for line in moved)
+    assert results[0] and results[0] == results[2] and results[1] == results[3]
