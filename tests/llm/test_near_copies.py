@@ -291,3 +291,33 @@ def test_similarities_of_all_starts_against_sets():
                 if x and y and len(x & y) / len(x | y) >= 0.5:
                     want[(a, b, at)] = len(x & y) / len(x | y)
         assert got == pytest.approx(want) and want
+
+
+def test_a_shared_phrase_alone_is_no_reason_to_compare(monkeypatch):
+    """Repetitive texts with one shingle in common, each with one near copy."""
+    n, length, compared = 600, 46, []
+    values = [np.resize([0, *(100 * (k // 2) + j for j in range(1, 9)), 100_000 + k], length) for k in range(n)]
+    zeros = np.zeros(n, np.int64)
+    slices = P.Slices(np.concatenate(values).astype(np.int32), np.full(n, length), zeros, zeros, length, 0.8)
+    ratio = P.Slices.ratio
+    monkeypatch.setattr(P.Slices, "ratio", lambda self, shared, x, y, hope: compared.append(len(y)) or ratio(self, shared, x, y, hope))
+    links = list(P._forest(slices, np.arange(n), zeros, False, lambda x, y: np.ones(len(y), bool)))
+    found = {(int(a), int(b)) for x, y, _ in links for a, b in zip(x, y)}
+    assert found == {(k, k + 1) for k in range(0, n, 2)}
+    assert sum(compared) <= 2 * n
+
+
+def test_partners_are_never_left_out():
+    rng = np.random.default_rng(5)
+    for alphabet in (4, 12, 40):
+        length, n = 12, 60
+        base = rng.integers(0, alphabet, (6, 2 * length - 1))
+        values = base[rng.integers(0, 6, n)]
+        values[rng.random(values.shape) < 0.06] = alphabet + 1
+        before, after = -rng.integers(0, length, n), np.zeros(n, np.int64)
+        rows = [v[length - 1 + b : 2 * length - 1] for v, b in zip(values, before)]
+        slices = P.Slices(np.concatenate(rows).astype(np.int32), np.array([len(r) for r in rows]), before, after, length, 0.6)
+        i, j = map(np.array, zip(*[(i, j) for j in range(n) for i in range(j)]))
+        near = {(int(i[k]), int(j[k])) for k in slices.similarities(i, j)[0]}
+        tried = {(int(k), int(o)) for k, other in P._partners(slices, np.arange(n)) for o in other}
+        assert near and near <= tried

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -45,9 +46,11 @@ SIMILARITY = 0.8
 # Classes of a group up to which all its links are listed; classes per block of a larger group.
 BUCKET = 8
 BLOCK = 2048
-# Classes per task of small groups, pairs compared at a time.
+# Classes per task of groups of one block, pairs compared at a time.
 ROWS = 1 << 13
 PAIRS = 512
+# Starts of a group's rows whose rarest shingles are sought at a time.
+STARTS = 1 << 14
 # Shingles worked on at a time; low bits of a packed minimum are a position in it.
 POSITION_BITS = 20
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -146,6 +149,25 @@ def slice_hashes(shingles: np.ndarray, first: np.ndarray, end: np.ndarray) -> np
     return ((sums[end] - sums[first]) * back[first]).view(np.int64)
 
 
+def _mixed_keys(keys: np.ndarray, function: int) -> pa.Array:
+    return pa.array(_mixed(keys, function + 1).view(np.int64))
+
+
+def _minima(length: int):
+    """The windows' keys and documents only."""
+
+    def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
+            for shingles, piece, rows in _joined(texts, length):
+                for function in range(HASHES):
+                    key, _, first, _ = compact_windows(shingles, length, function, piece)
+                    ids = batch["doc_id"].take(pa.array(rows[piece[first]]))
+                    yield pa.RecordBatch.from_pydict({"key": _mixed_keys(key, function), "doc_id": ids})
+
+    return minima
+
+
 def _windows(length: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,12 +175,14 @@ def _windows(length: int):
             texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
             for shingles, piece, rows in _joined(texts, length):
                 starts = np.searchsorted(piece, np.arange(len(rows)))
-                for function in range(HASHES):
-                    key, at, first, last = compact_windows(shingles, length, function, piece)
-                    content = slice_hashes(shingles, first, last + length)
+                found = [compact_windows(shingles, length, function, piece) for function in range(HASHES)]
+                sizes = [len(at) for _, at, _, _ in found]
+                _, _, first, last = map(np.concatenate, zip(*found))
+                contents = np.split(slice_hashes(shingles, first, last + length), np.cumsum(sizes)[:-1])
+                for function, ((key, at, first, last), content) in enumerate(zip(found, contents)):
                     mine = piece[first]
                     columns = {
-                        "key": pa.array(_mixed(key, function + 1).view(np.int64)),
+                        "key": _mixed_keys(key, function),
                         "doc_id": ids.take(pa.array(rows[mine])),
                         "function": pa.array(np.full(len(at), function, np.int8)),
                         "at": pa.array((at - starts[mine]).astype(np.int32)),
@@ -175,25 +199,35 @@ CLASS = ("key", "function", "before", "after", "content")
 CARRIED = (*CLASS, "n", "lo_at", "hi_doc", "hi_at")
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first[k], first[k] + 1, ..., sizes[k] numbers, for each k."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 def _contents(length: int):
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, text in enumerate(batch["text"]):
-                wanted = batch["wanted"].slice(number, 1).flatten()
-                field = dict(zip(CARRIED, wanted.flatten()))
-                first = field["lo_at"].to_numpy() + field["before"].to_numpy()
-                end = field["lo_at"].to_numpy() + field["after"].to_numpy() + length
-                shingles = shingle_hashes(text.as_py())
+            number = pc.list_value_length(batch["wanted"]).to_numpy(zero_copy_only=False).astype(np.int64)
+            begins = np.cumsum(number) - number
+            wanted = batch["wanted"].flatten()
+            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
+            for shingles, piece, rows in _joined(texts, length):
+                starts = np.searchsorted(piece, np.arange(len(rows)))
+                ends = np.searchsorted(piece, np.arange(len(rows)), side="right")
+                mine = wanted.take(pa.array(_ranges(begins[rows], number[rows])))
+                owner = np.repeat(np.arange(len(rows)), number[rows])
+                field = dict(zip(CARRIED, mine.flatten()))
+                first = field["lo_at"].to_numpy() + field["before"].to_numpy() + starts[owner]
+                end = field["lo_at"].to_numpy() + field["after"].to_numpy() + length + starts[owner]
                 # Of several texts with this id, the one the window comes from.
-                here = np.flatnonzero(end <= len(shingles))
+                here = np.flatnonzero(end <= ends[owner])
                 here = here[slice_hashes(shingles, first[here], end[here]) == field["content"].to_numpy()[here]]
                 low = (shingles & np.uint64(0x7FFFFFFF)).astype(np.int32)
                 first, end = first[here], end[here]
                 offsets = np.concatenate([[0], np.cumsum(end - first)])
-                values = low[np.repeat(first - offsets[:-1], end - first) + np.arange(offsets[-1])]
                 taken = {name: column.take(pa.array(here)) for name, column in field.items()}
-                taken["lo_doc"] = batch["doc_id"].take(pa.array(np.full(len(here), number)))
-                taken["shingles"] = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+                taken["lo_doc"] = batch["doc_id"].take(pa.array(rows[owner[here]]))
+                taken["shingles"] = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(low[_ranges(first, end - first)]))
                 yield pa.RecordBatch.from_pydict(taken)
 
     return contents
@@ -325,8 +359,7 @@ def _forest(slices: Slices, rows: np.ndarray, side: np.ndarray, cross: bool, apa
     ids = ids.reshape(len(rows), -1)
     place = np.full(ids.max() + 1, -1)
     open_, root = hope.copy(), np.arange(len(rows))
-    for k in range(len(rows) - 1):
-        other = np.arange(k + 1, len(rows))
+    for k, other in _partners(slices, rows):
         if cross:
             other = other[side[other] != side[k]]
         both = hope[other] & hope[k]
@@ -356,6 +389,47 @@ def _forest(slices: Slices, rows: np.ndarray, side: np.ndarray, cross: bool, apa
         yield np.full(len(kept), rows[k]), rows[other[kept]], ratio[kept]
 
 
+def _partners(slices: Slices, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each row the later ones it may be near: those that hold one of its rarest shingles.
+
+    A passage's partner has all but a few of its shingles, so of the rarest
+    ones, one more than that, it has one. What a whole group shares, as the
+    phrase that brought it together, is hardly among them.
+    """
+    n, length = len(rows), slices.length
+    v, hope = slices.v[rows], slices.hope[rows]
+    once = (slices.earlier[rows] == 0) & (v >= 0)
+    _, number = np.unique(v, return_inverse=True)
+    number = number.reshape(v.shape)
+    holding = np.bincount(number[once], minlength=number.max(initial=-1) + 1)
+    row, at = np.nonzero(once)
+    holders = row[np.argsort(number[row, at], kind="stable")]
+    ends = np.cumsum(holding)
+    code = holding[number] << 32 | number
+    rare = np.zeros(v.shape, bool)
+    row, start = np.nonzero(hope)
+    for at in range(0, len(row), STARTS):
+        r, place = row[at : at + STARTS, None], start[at : at + STARTS, None] + np.arange(length)
+        codes = code[r, place]
+        distinct = slices.distinct[rows[r[:, 0]], place[:, 0]]
+        spared = distinct - np.ceil(slices.similarity * distinct - 1e-6).astype(np.int64)
+        ordered = np.sort(codes, axis=1)
+        earlier = np.cumsum(ordered[:, 1:] != ordered[:, :-1], axis=1)
+        most = np.take_along_axis(ordered, (earlier <= spared[:, None]).sum(axis=1)[:, None], 1)
+        taken = codes <= most
+        rare[np.broadcast_to(r, taken.shape)[taken], place[taken]] = True
+    row, at = np.nonzero(rare & (holding[number] > 1))
+    value, bounds = number[row, at], np.searchsorted(row, np.arange(n + 1))
+    mark = np.zeros(n, bool)
+    for k in np.flatnonzero(np.diff(bounds)):
+        for x in set(value[bounds[k] : bounds[k + 1]].tolist()):
+            mark[holders[ends[x] - holding[x] : ends[x]]] = True
+        other = np.flatnonzero(mark)
+        mark[other] = False
+        if len(other := other[other > k]):
+            yield k, other
+
+
 def _occurrences(values: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
     """The places of first occurrences, of second ones, and so on."""
     while len(places):
@@ -431,13 +505,16 @@ def _compare(length: int, similarity: float, bucket: int = BUCKET):
             found, ratio = slices.similarities(x, y)
             between.append((x[found], y[found], ratio))
             step += 1
+        # Leaders are in the groups' order.
+        ends = np.cumsum(size)
         for g in np.flatnonzero(size > bucket):
-            rows = leaders[group[leaders] == g]
+            rows = leaders[ends[g] - size[g] : ends[g]]
             cross = column["i"][rows[0]] != column["j"][rows[0]]
             between += _forest(slices, rows, column["first_side"][rows], cross, lambda x, y: np.ones(len(y), bool))
         pieces += [(x[k], y[k], ratio[k]) for x, y, ratio in between for k in [apart(x, y)]]
         # Where two patterns are near but the rows of one are not near each other, each of its rows is linked to the other's leader.
-        for x, y, ratio in between:
+        if between:
+            x, y, ratio = map(np.concatenate, zip(*between))
             for here, there in ((x, y), (y, x)):
                 pieces += list(_spread_links(here, there, ratio, inner, stands, members, apart))
         x, y, ratio = map(np.concatenate, zip(*pieces)) if pieces else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, length)))
@@ -494,7 +571,8 @@ def _verified(known: DataFrame, windows: DataFrame, length: int, similarity: flo
     dealt = filled.withColumn("blocks", blocks.cast("long")).withColumn("own", own).withColumn("m", F.explode(meet)).select(
         "*", "m.i", "m.j", "m.first_side"
     ).drop("m", "blocks", "own")
-    task = F.when(F.col("n") > BUCKET, F.xxhash64("key", "function", "i", "j")).otherwise(F.pmod(F.xxhash64("key", "function"), F.lit(tasks)))
+    # Pairs of blocks are tasks of their own, groups of one block share them.
+    task = F.when(F.col("n") > BLOCK, F.xxhash64("key", "function", "i", "j")).otherwise(F.pmod(F.xxhash64("key", "function"), F.lit(tasks)))
     result = f"function byte, x {kind}, x_at int, y {kind}, y_at int, lo int, hi int, similarity double"
     near = written(dealt.withColumn("task", task).groupBy("task").applyInArrow(_compare(length, similarity, BUCKET), result), "near")
     # A class of one document may stand at several places of it.
@@ -534,7 +612,8 @@ def repeated_passages(docs: DataFrame, *, words: int = WORDS, similarity: float
     kind = dict(docs.dtypes)["doc_id"]
     windows = known.mapInArrow(_windows(length), f"key long, doc_id {kind}, function byte, at int, before int, after int, content long")
     # Minima that one document alone has are most of all; only the others' windows are kept.
-    ends = windows.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("key")
+    minima = known.mapInArrow(_minima(length), f"key long, doc_id {kind}")
+    ends = minima.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("key")
     windows = written(windows.join(ends, "key", "left_semi"), "windows")
     found = _verified(known, windows, length, similarity)
     # The lesser document is a.
