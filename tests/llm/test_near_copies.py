@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -321,3 +322,54 @@ def test_partners_are_never_left_out():
         near = {(int(i[k]), int(j[k])) for k in slices.similarities(i, j)[0]}
         tried = {(int(k), int(o)) for k, other in P._partners(slices, np.arange(n)) for o in other}
         assert near and near <= tried
+
+
+def test_hashes_of_many_texts_are_those_of_each(monkeypatch):
+    rng = random.Random(6)
+    texts = [None, "", " \n", "a b c d e", "\x0b A b\tc\r\n d  e f\x0c", "a\x1cb c d e f g", "\xa0 Ä ä İ x \U0001f600 y z", " ".join(words(rng, 300)), "same " * 50]
+    for size in (1, 40, 1 << 23):
+        monkeypatch.setattr(P, "TEXT_BYTES", size)
+        got = list(P.text_hashes(pa.array(["cut off", *texts, *texts]).slice(1)))
+        assert [k for k, _ in got] == list(range(2 * len(texts)))
+        assert all(np.array_equal(h, P.shingle_hashes(t)) for (_, h), t in zip(got, texts + texts))
+    assert list(P.text_hashes(pa.array([], pa.string()))) == []
+
+
+def edited_copies(n, length):
+    """Slices of rows of which many are near each other, some with repeated values."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 40, (9, 2 * length - 1))
+    values = base[rng.integers(0, 9, n)]
+    values[rng.random(values.shape) < 0.05] = 41
+    before, after = -rng.integers(0, length, n), rng.integers(0, 3, n) * 0
+    rows = [v[length - 1 + b : 2 * length - 1] for v, b in zip(values, before)]
+    return P.Slices(np.concatenate(rows).astype(np.int32), np.array([len(r) for r in rows]), before, after, length, 0.7)
+
+
+def test_links_of_a_large_group_do_not_depend_on_its_batches(monkeypatch):
+    n, length, results = 200, 12, []
+    for cross in (False, True):
+        for tried, cells, holders in ((1, 1, 1), (50, 1 << 20, 100), (1 << 11, 1 << 20, 1 << 18)):
+            for name, value in (("TRIED", tried), ("CELLS", cells), ("HOLDERS", holders)):
+                monkeypatch.setattr(P, name, value)
+            links = list(P._forest(edited_copies(n, length), np.arange(n), np.arange(n) % 2, cross, lambda x, y: np.ones(len(y), bool)))
+            results.append([np.concatenate(x).tolist() for x in zip(*links)])
+        assert results[-1][0] and results[-3] == results[-2] == results[-1]
+    assert results[0] != results[3] and all((x - y) % 2 for x, y in zip(*results[3][:2]))
+
+
+def test_rows_of_a_large_group_are_compared_in_batches(monkeypatch):
+    calls, ratio = [], P.Slices.ratio
+    monkeypatch.setattr(P.Slices, "ratio", lambda self, shared, x, y, hope: calls.append(len(y)) or ratio(self, shared, x, y, hope))
+    slices = edited_copies(200, 12)
+    assert list(P._forest(slices, np.arange(200), np.zeros(200, int), False, lambda x, y: np.ones(len(y), bool)))
+    assert len(calls) <= 20
+
+
+def test_some_rows_of_slices_are_as_made_of_them_alone():
+    slices, kept = edited_copies(40, 12), np.array([3, 4, 9, 30])
+    some = slices.taken(kept)
+    i, j = map(np.array, zip(*[(i, j) for j in range(4) for i in range(j)]))
+    for a, b in zip(some.similarities(i, j), slices.similarities(kept[i], kept[j])):
+        assert np.array_equal(a, b)
+    assert some.run_row.max() == 3 and len(some.run_row) == np.isin(slices.run_row, kept).sum()

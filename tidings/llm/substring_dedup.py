@@ -26,6 +26,7 @@ that links lead to, does not depend on which way a group took.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,12 @@ ROWS = 1 << 13
 PAIRS = 512
 # Starts of a group's rows whose rarest shingles are sought at a time.
 STARTS = 1 << 14
+# Pairs of a large group tried at a time, places held for their first rows, holders of rare shingles looked at.
+TRIED = 1 << 11
+CELLS = 1 << 20
+HOLDERS = 1 << 18
+# Bytes of texts that are split at a time.
+TEXT_BYTES = 1 << 23
 # Shingles worked on at a time; low bits of a packed minimum are a position in it.
 POSITION_BITS = 20
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -64,13 +71,35 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     n = len(words) - SHINGLE + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return _shingled(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+
+
+def _shingled(w: np.ndarray) -> np.ndarray:
+    n = max(len(w) - SHINGLE + 1, 0)
     out = w[:n].copy()
     for k in range(1, SHINGLE):
         out = (out ^ (out >> np.uint64(32))) * PRIME + w[k : k + n]
     return out
 
 
+def text_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, its `shingle_hashes`) of each text; a word that many texts have is hashed once for them."""
+    done = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + TEXT_BYTES, side="right")) - 1)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(begin, end - begin).fill_null("")))
+        words, row = lists.flatten(), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+        some = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+        row, words = row[some.to_numpy(zero_copy_only=False)], words.filter(some).dictionary_encode()
+        known = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        w = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))[words.indices.to_numpy()]
+        shingles, bounds = _shingled(w), np.searchsorted(row, np.arange(end - begin + 1))
+        for k in range(end - begin):
+            yield begin + k, shingles[bounds[k] : max(bounds[k + 1] - SHINGLE + 1, bounds[k])]
+        begin = end
+
+
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
     x = (x ^ np.uint64(seed)) * PRIME
     x = (x ^ (x >> np.uint64(29))) * np.uint64(SEEDS[0])
@@ -119,15 +148,14 @@ def compact_windows(
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _joined(texts: Iterator[tuple[int, str | None]], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _joined(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(shingles, piece, row of each piece): texts joined up to what a packed position can number; a longer one stands alone."""
     parts, rows, size = [], [], 0
 
     def joined():
         return np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array(rows)
 
-    for row, text in texts:
-        shingles = shingle_hashes(text)
+    for row, shingles in text_hashes(texts):
         if len(shingles) < length:
             continue
         if parts and size + len(shingles) > 1 << POSITION_BITS:
@@ -158,8 +186,7 @@ def _minima(length: int):
 
     def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
-            for shingles, piece, rows in _joined(texts, length):
+            for shingles, piece, rows in _joined(batch["text"], length):
                 for function in range(HASHES):
                     key, _, first, _ = compact_windows(shingles, length, function, piece)
                     ids = batch["doc_id"].take(pa.array(rows[piece[first]]))
@@ -172,8 +199,7 @@ def _windows(length: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
-            for shingles, piece, rows in _joined(texts, length):
+            for shingles, piece, rows in _joined(batch["text"], length):
                 starts = np.searchsorted(piece, np.arange(len(rows)))
                 found = [compact_windows(shingles, length, function, piece) for function in range(HASHES)]
                 sizes = [len(at) for _, at, _, _ in found]
@@ -210,8 +236,7 @@ def _contents(length: int):
             number = pc.list_value_length(batch["wanted"]).to_numpy(zero_copy_only=False).astype(np.int64)
             begins = np.cumsum(number) - number
             wanted = batch["wanted"].flatten()
-            texts = ((row, text.as_py()) for row, text in enumerate(batch["text"]))
-            for shingles, piece, rows in _joined(texts, length):
+            for shingles, piece, rows in _joined(batch["text"], length):
                 starts = np.searchsorted(piece, np.arange(len(rows)))
                 ends = np.searchsorted(piece, np.arange(len(rows)), side="right")
                 mine = wanted.take(pa.array(_ranges(begins[rows], number[rows])))
@@ -271,6 +296,17 @@ class Slices:
         # Starts that may have a partner; `hopeful` narrows them.
         self.hope = (start >= self.lo[:, None]) & (start <= self.hi[:, None])
 
+    def taken(self, kept: np.ndarray) -> Slices:
+        """The same of some rows only."""
+        out, number = copy(self), np.full(len(self.v), -1)
+        number[kept] = np.arange(len(kept))
+        for name in ("v", "earlier", "lo", "hi", "values", "los", "his", "distinct", "hope"):
+            setattr(out, name, getattr(self, name)[kept])
+        runs = number[self.run_row] >= 0
+        out.run_row = number[self.run_row[runs]]
+        out.run_value, out.run_lo, out.run_hi = self.run_value[runs], self.run_lo[runs], self.run_hi[runs]
+        return out
+
     def hopeful(self, group: np.ndarray) -> np.ndarray:
         """The starts (rows x length) at which a row may be near another row of its group.
 
@@ -357,36 +393,71 @@ def _forest(slices: Slices, rows: np.ndarray, side: np.ndarray, cross: bool, apa
     hope, values, los, his = slices.hope[rows], slices.values[rows], slices.los[rows], slices.his[rows]
     _, ids = np.unique(values, return_inverse=True)
     ids = ids.reshape(len(rows), -1)
-    place = np.full(ids.max() + 1, -1)
+    # A row's runs stand by value: runs of one value follow each other.
+    column = np.arange(ids.shape[1])
+    fresh = np.pad(ids[:, 1:] != ids[:, :-1], ((0, 0), (1, 0)), constant_values=True)
+    again = column - np.maximum.accumulate(np.where(fresh, column, 0), axis=1)
+    again[values < 0] = -1
+    place = np.full((max(1, min(len(rows), CELLS // (ids.max() + 1))), ids.max() + 1), -1, np.int32)
     open_, root = hope.copy(), np.arange(len(rows))
-    for k, other in _partners(slices, rows):
+    uncovered = _bits(open_)
+    for some, number, other in _batches(_partners(slices, rows), len(place)):
+        k = some[number]
+        left = open_.any(axis=1)
+        tried = (root[other] != root[k]) | left[other] | left[k]
         if cross:
-            other = other[side[other] != side[k]]
+            tried &= side[other] != side[k]
+        k, number, other = k[tried], number[tried], other[tried]
         both = hope[other] & hope[k]
-        other = other[np.where(root[other] != root[k], both.any(axis=1), (both & (open_[other] | open_[k])).any(axis=1))]
-        other = other[apart(rows[k], rows[other])]
-        if not len(other):
+        tried = np.where(root[other] != root[k], both.any(axis=1), (both & (open_[other] | open_[k])).any(axis=1))
+        tried &= apart(rows[k], rows[other])
+        if not tried.any():
             continue
+        k, number, other, both = k[tried], number[tried], other[tried], both[tried]
         shared = 0
-        for own in _occurrences(ids[k], np.flatnonzero(values[k] >= 0)):
-            place[ids[k][own]] = own
-            p = place[ids[other]]
-            place[ids[k][own]] = -1
+        for time in range(again[some].max() + 1):
+            row, own = np.nonzero(again[some] == time)
+            place[row, ids[some[row], own]] = own
+            p = place[number[:, None], ids[other]]
+            place[row, ids[some[row], own]] = -1
             pair, q = np.nonzero(p >= 0)
-            p, o = p[pair, q], other[pair]
-            shared = shared + slices._sums(len(other), pair, np.maximum(los[k][p], los[o, q]), np.minimum(his[k][p], his[o, q]))
-        ratio = slices.ratio(shared, rows[k], rows[other], hope[other] & hope[k])
+            p, o, x = p[pair, q], other[pair], k[pair]
+            shared = shared + slices._sums(len(other), pair, np.maximum(los[x, p], los[o, q]), np.minimum(his[x, p], his[o, q]))
+        ratio = slices.ratio(shared, rows[k], rows[other], both)
+        near = ratio > 0
+        found = np.flatnonzero(np.where(root[other] != root[k], near.any(axis=1), (near & (open_[other] | open_[k])).any(axis=1)))
         kept = []
-        for number in np.flatnonzero(ratio.any(axis=1)):
-            o, starts = other[number], ratio[number] > 0
-            if root[o] != root[k]:
-                root[root == root[o]] = root[k]
-            elif not (starts & (open_[o] | open_[k])).any():
+        for at, x, o, starts in zip(found.tolist(), k[found].tolist(), other[found].tolist(), _bits(near[found])):
+            if not starts & (uncovered[o] | uncovered[x]) and root[o] == root[x]:
                 continue
-            open_[o] &= ~starts
-            open_[k] &= ~starts
-            kept.append(number)
-        yield np.full(len(kept), rows[k]), rows[other[kept]], ratio[kept]
+            if root[o] != root[x]:
+                root[root == root[o]] = root[x]
+            uncovered[o] &= ~starts
+            uncovered[x] &= ~starts
+            open_[[o, x]] &= ~near[at]
+            kept.append(at)
+        yield rows[k[kept]], rows[other[kept]], ratio[kept]
+
+
+def _bits(starts: np.ndarray) -> list[int]:
+    """Each row of flags as one number."""
+    packed = np.packbits(starts, axis=1)
+    flat, width = packed.tobytes(), packed.shape[1]
+    return [int.from_bytes(flat[at : at + width]) for at in range(0, len(flat), width)]
+
+
+def _batches(partners: Iterator[tuple[int, np.ndarray]], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, number of the row, its partner) of up to `most` rows at a time, and little more than `TRIED` pairs."""
+    rows, others, size = [], [], 0
+    for k, other in partners:
+        rows.append(k)
+        others.append(other)
+        size += len(other)
+        if len(rows) == most or size >= TRIED:
+            yield np.array(rows), np.repeat(np.arange(len(rows)), [len(o) for o in others]), np.concatenate(others)
+            rows, others, size = [], [], 0
+    if rows:
+        yield np.array(rows), np.repeat(np.arange(len(rows)), [len(o) for o in others]), np.concatenate(others)
 
 
 def _partners(slices: Slices, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -419,23 +490,21 @@ def _partners(slices: Slices, rows: np.ndarray) -> Iterator[tuple[int, np.ndarra
         taken = codes <= most
         rare[np.broadcast_to(r, taken.shape)[taken], place[taken]] = True
     row, at = np.nonzero(rare & (holding[number] > 1))
-    value, bounds = number[row, at], np.searchsorted(row, np.arange(n + 1))
-    mark = np.zeros(n, bool)
-    for k in np.flatnonzero(np.diff(bounds)):
-        for x in set(value[bounds[k] : bounds[k + 1]].tolist()):
-            mark[holders[ends[x] - holding[x] : ends[x]]] = True
-        other = np.flatnonzero(mark)
-        mark[other] = False
-        if len(other := other[other > k]):
-            yield k, other
-
-
-def _occurrences(values: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
-    """The places of first occurrences, of second ones, and so on."""
-    while len(places):
-        _, first = np.unique(values[places], return_index=True)
-        yield places[first]
-        places = np.delete(places, first)
+    code = np.unique(row.astype(np.int64) << 32 | number[row, at])
+    row, value = code >> 32, code & 0xFFFFFFFF
+    sizes = holding[value]
+    done, bounds = np.concatenate([[0], np.cumsum(sizes)]), np.searchsorted(row, np.arange(n + 1))
+    begin = 0
+    while begin < n:
+        # Whole rows, of so many holders at a time.
+        end = max(begin + 1, int(np.searchsorted(done[bounds], done[bounds[begin]] + HOLDERS, side="right")) - 1)
+        mine = slice(bounds[begin], bounds[end])
+        begin = end
+        holder = holders[_ranges(ends[value[mine]] - sizes[mine], sizes[mine])]
+        k = np.repeat(row[mine], sizes[mine])
+        k, other = np.divmod(np.unique((k * n + holder)[holder > k]), n)
+        first = np.flatnonzero(np.diff(k, prepend=-1))
+        yield from zip(k[first].tolist(), np.split(other, first[1:]))
 
 
 def _spread_links(here, there, ratio, inner, stands, members, apart) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -458,20 +527,17 @@ def _compare(length: int, similarity: float, bucket: int = BUCKET):
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([(c, "ascending") for c in ("key", "function", "i", "j")])
         names = ("key", "function", "i", "j", "before", "after", "lo_at", "hi_at", "first_side")
-        for last in (False, True):
-            column = {c: table[c].to_numpy() for c in names}
-            lists = table["shingles"].combine_chunks()
-            sizes = np.diff(lists.offsets.to_numpy())
-            slices = Slices(lists.flatten().to_numpy(), sizes, column["before"], column["after"], length, similarity)
-            new = np.ones(len(sizes), bool)
-            new[1:] = np.any([column[c][1:] != column[c][:-1] for c in ("key", "function", "i", "j")], axis=0)
-            group = np.cumsum(new)
-            if last:
-                slices.hope = hope
-            else:
-                hope = slices.hopeful(group)
-                kept = np.flatnonzero(hope.any(axis=1))
-                table, hope = table.take(pa.array(kept)).combine_chunks(), hope[kept]
+        column = {c: table[c].to_numpy() for c in names}
+        lists = table["shingles"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        slices = Slices(lists.flatten().to_numpy(), sizes, column["before"], column["after"], length, similarity)
+        new = np.ones(len(sizes), bool)
+        new[1:] = np.any([column[c][1:] != column[c][:-1] for c in ("key", "function", "i", "j")], axis=0)
+        group = np.cumsum(new)
+        slices.hope = slices.hopeful(group)
+        kept = np.flatnonzero(slices.hope.any(axis=1))
+        slices, group = slices.taken(kept), np.unique(group[kept], return_inverse=True)[1] + 1
+        table, column = table.select(["lo_doc", "hi_doc"]).take(pa.array(kept)), {c: x[kept] for c, x in column.items()}
         docs = pa.concat_arrays([table[c].combine_chunks() for c in ("lo_doc", "hi_doc")])
         lo, hi = np.split(docs.dictionary_encode().indices.to_numpy(), 2)
         # A class stands for its least and its greatest document: two classes are compared if these are not one document.
