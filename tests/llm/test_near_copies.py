@@ -373,3 +373,10 @@ def test_some_rows_of_slices_are_as_made_of_them_alone():
     for a, b in zip(some.similarities(i, j), slices.similarities(kept[i], kept[j])):
         assert np.array_equal(a, b)
     assert some.run_row.max() == 3 and len(some.run_row) == np.isin(slices.run_row, kept).sum()
+
+
+def test_probes_are_never_broadcast(spark):
+    """A fingerprint gives dozens of probes, which the planner takes for as small as the fingerprints."""
+    nodes = spark.range(2000).selectExpr("xxhash64(id) as fp")
+    plan = S.near_links(nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -142,7 +142,8 @@ def near_links(nodes: DataFrame, radius: int = 4) -> DataFrame:
         turned = nodes.select("fp", F.explode(masks).alias("m")).select("fp", "m.k", "m.mask")
         return turned.select("fp", "k", value.bitwiseXOR(F.col("mask")).alias("key"))
 
-    entries, probes = keyed([(k, m) for k, m in table if m == 0]), keyed(table)
+    # The planner takes `probes`, a row per mask, for as small as `nodes`: no join may broadcast it or what comes of it.
+    entries, probes = keyed([(k, m) for k, m in table if m == 0]).hint("merge"), keyed(table).hint("merge")
     # Without a ball, an entry that is alone in its bucket can meet nothing.
     met = F.col("k").isin([k for k, (_, _, r) in enumerate(plan) if r > 0]) | (F.col("n") > 1)
     counts = written(entries.groupBy("k", "key").agg(F.count("*").alias("n")).where(met), "buckets")
