@@ -308,3 +308,50 @@ def test_terms_stay_in_their_parts(spark, tmp_path, monkeypatch):
                 moved = [line for line in weights._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
                 assert moved and all("part#" in line and "term#" not in line for line in moved)
     assert results[0] and results[0] == results[2] and results[1] == results[3]
+
+
+def test_the_fit_takes_all_rows(spark, monkeypatch):
+    """No number of training rows bounds the fit unless a caller says so."""
+    seen, solve = [], newton.solve
+
+    def watched(product, labels, weight, n_labels, **options):
+        seen.append(int((weight > 0).sum()))
+        return solve(product, labels, weight, n_labels, **options)
+
+    monkeypatch.setattr(newton, "solve", watched)
+    df = spark.range(130_000).selectExpr("if(id % 3 = 0, 'A', 'B') as label", "concat('s', id % 11) as sentence")
+    training.train_event_type(df, max_iter=1, oversample=False)
+    assert seen == [104_000]
+
+
+def test_postings_are_packed(spark):
+    """Many terms lie in one row, as bytes; numbers without a row stay out of the fit."""
+    weights = spark.range(3000).selectExpr("id % 50 as place", "'word' as block", "concat('t', id div 3) as term", "0.5D as weight")
+    postings = newton.term_postings(weights, None, "place")
+    assert postings.count() < 100 and dict(postings.dtypes)["values"] == "binary"
+    rows = spark.range(40).selectExpr("id as place", "cast(id % 3 as double) as label_index", "1.0D as weight")
+    terms, intercepts = classify.fit_classifier(weights, rows, 3, key="place", numbers=50)
+    alone, same = classify.fit_classifier(weights.where("place < 40"), rows, 3, key="place")
+    found, wanted = ({r.term: r.coefficients for r in t.collect()} for t in (terms, alone))
+    assert len(found) == 1000 and intercepts == pytest.approx(same, abs=1e-4)
+    assert all(found[t] == pytest.approx(wanted.get(t, [0.0] * 3), abs=1e-4) for t in found)
+
+
+def test_prediction_leaves_the_terms_in_their_parts(spark, monkeypatch):
+    """With a model too large to broadcast, its entries go to the terms and not the other way."""
+    texts = [f"ala ma {w} numer {k}" for k in range(12) for w in ("kota", "psa", "dom")] + ["", "..."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, sentence string")
+    vocabulary = features.fit_vocabulary(features.term_table(df.where("id % 3 > 0")), 24)
+    terms = features.store_vocabulary(vocabulary.withColumn("coefficients", F.expr("array(length(term) / 10D, -0.2D, if(block = 'word', 0.3D, 0D))")))
+    model = training.EventTypeModel(terms, features.table_bytes(terms), ("A", "B", "C"), (0.0, 0.1, 0.0))
+    results = []
+    for limit in (features.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(features, "BROADCAST_BYTES", limit)
+        found = training.predict(model, df, rules=())
+        results.append(sorted((r.id, r.label, round(r.confidence, 9)) for r in found.collect()))
+        lines = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert any("ShuffledHashJoin" in line for line in lines) == (limit == 0)
+        if not limit:
+            assert not [line for line in plan if "Exchange hashpartitioning" in line and "term#" in line]
+    assert len(results[0]) == 38 and results[0] == results[1]
