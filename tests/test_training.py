@@ -355,3 +355,9 @@ def test_prediction_leaves_the_terms_in_their_parts(spark, monkeypatch):
         if not limit:
             assert not [line for line in plan if "Exchange hashpartitioning" in line and "term#" in line]
     assert len(results[0]) == 38 and results[0] == results[1]
+
+
+def test_rows_without_label_leave_gaps_in_the_numbers(spark):
+    rows = [(None if k % 5 == 0 else "AB"[k % 2], f"{'strajk' if k % 2 else 'pożar'} numer {k}") for k in range(60)]
+    model, report = training.train_event_type(spark.createDataFrame(rows, "label string, sentence string"), max_iter=2)
+    assert model.labels == ("A", "B") and report.where("kind = 'accuracy'").first().support > 0
